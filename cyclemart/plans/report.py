@@ -86,9 +86,12 @@ def symmetric_histogram(differences: DataFrame, width: float = 0.004) -> DataFra
 
 
 def fixed_histogram(differences: DataFrame, width: float = 0.005) -> DataFrame:
-    """Histogram per metric in bins of one width, with the mean on every row."""
+    """Histogram per metric in bins of one width, with the mean on every row.
+
+    A difference that rounding leaves a hair below an edge counts as on it.
+    """
     means = differences.groupBy("metric").agg(F.avg("diff").alias("mean"))
-    counted = differences.groupBy("metric", F.floor(F.col("diff") / width).alias("bin")).agg(F.count("*").alias("count"))
+    counted = differences.groupBy("metric", F.floor(F.round(F.col("diff") / width, 9)).alias("bin")).agg(F.count("*").alias("count"))
     return counted.join(F.broadcast(means), "metric").select(  # one row per metric name
         "metric", (F.col("bin") * width).alias("bin_start"), "count", "mean"
     )
