@@ -127,7 +127,7 @@ def sign_flip_sums(
     flat = wide.select(
         *by, "test_no", "block", F.posexplode(F.array(*[f"s{bit}" for bit in range(FLIPS_PER_HASH)])).alias("bit", "flipped_sum")
     )
-    number = (F.col("block") * FLIPS_PER_HASH + F.col("bit")).alias("permutation")
+    number = (F.col("block") * FLIPS_PER_HASH + F.col("bit")).cast("bigint").alias("permutation")
     return flat.select(*by, "test_no", number, "flipped_sum").filter(F.col("permutation") < n_permutations)
 
 

@@ -106,25 +106,28 @@ def feature_rows(epoch_table: DataFrame, function: FeatureFunction) -> DataFrame
     columns, one row per cycle. A failing or empty signal gives one row with
     ``error`` set and no features.
     """
+    identity = {"session_id": "session_id", "region": "region", "trial": "trial",
+                "channel_idx": "column_idx", "channel_label": "channel_label"}
+
     def frames(batches):
         for batch in batches:
-            parts = []
-            for row in batch.itertuples(index=False):
+            found, messages = [], []
+            for signal in batch["signal"]:
                 try:
-                    part = function(row.signal).reindex(columns=list(FEATURE_COLUMNS))
+                    part = function(signal)
                     message = None if len(part) else "no cycles"
                 except Exception as failure:  # any failure of the caller's function is recorded
-                    part, message = pd.DataFrame(), f"{type(failure).__name__}: {failure}"
-                if message is not None:
-                    part = pd.DataFrame([{}]).reindex(columns=list(FEATURE_COLUMNS))
-                part = part.assign(
-                    session_id=row.session_id, region=row.region, trial=row.trial,
-                    channel_idx=row.column_idx, channel_label=row.channel_label, error=message,
-                )
-                parts.append(part)
-            if parts:
-                out = pd.concat(parts, ignore_index=True)[FEATURE_ROWS.names]
-                yield _nullable(out)
+                    part, message = None, f"{type(failure).__name__}: {failure}"
+                found.append(part if message is None else pd.DataFrame(index=[0]))
+                messages.append(message)
+            if not found:
+                continue
+            times = [len(part) for part in found]
+            out = pd.concat(found, ignore_index=True).reindex(columns=list(FEATURE_COLUMNS))
+            for name, source in identity.items():
+                out[name] = batch[source].repeat(times).to_numpy()
+            out["error"] = pd.Series(messages, dtype="object").repeat(times).to_numpy()
+            yield _nullable(out[FEATURE_ROWS.names])
 
     columns = ["session_id", "region", "trial", "column_idx", "channel_label", "signal"]
     return epoch_table.filter("finite").select(*columns).mapInPandas(frames, FEATURE_ROWS)
