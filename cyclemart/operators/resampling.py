@@ -92,6 +92,8 @@ def describe_tests(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"),
         F.sum(F.col("value") * F.col("value")).alias("square_sum"),
+        F.min(F.abs("value")).alias("least"),
+        F.max(F.abs("value")).alias("most"),
         F.avg("x").alias("mean_baseline"),
         F.avg("y").alias("mean_comparison"),
     )
@@ -137,13 +139,22 @@ def permutation_p_values(
     """Two-sided add-one p-value per (family, test).
 
     Flipping signs leaves the sum of squares unchanged, so a permuted t needs
-    only the permuted mean.
+    only the permuted mean and grows with it. A permuted mean as large as the
+    observed one therefore counts whatever cancellation does to its t. Values
+    of one size with one sign have no spread, and then t is 0.
     """
-    needed = described.select(*by, "test_no", "n_units", "square_sum", F.col("observed").alias("_observed"))
+    needed = described.select(*by, "test_no", "n_units", "square_sum", "least", "most", F.col("mean").alias("_mean"), F.col("observed").alias("_observed"))
     joined = sums.join(needed, [*by, "test_no"])
     mean = F.col("flipped_sum") / F.col("n_units")
-    permuted = _t(mean, F.col("square_sum"), F.col("n_units")) if statistic == "t_stat" else mean
-    beyond = F.count_if(F.abs(permuted) >= F.abs(F.col("_observed")) - F.lit(SLACK))
+    limit = F.abs(F.col("_observed")) - F.lit(SLACK)
+    if statistic == "t_stat":
+        no_spread = (F.col("least") == F.col("most")) & (F.abs(mean) >= F.col("most") * F.lit(1 - SLACK))
+        as_large = F.abs(mean) >= F.abs(F.col("_mean")) * F.lit(1 - SLACK)
+        t = _t(mean, F.col("square_sum"), F.col("n_units"))
+        exceeds = F.when(no_spread, limit <= 0).otherwise((F.abs(t) >= limit) | as_large)
+    else:
+        exceeds = F.abs(mean) >= limit
+    beyond = F.count_if(exceeds)
     return joined.groupBy(*by, "test_no").agg(
         beyond.alias("exceedances"), ((F.lit(1.0) + beyond) / F.lit(1.0 + n_permutations)).alias("p_value")
     )

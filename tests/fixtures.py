@@ -43,7 +43,7 @@ def trial_file(root: Path, subject: str, rows: list[tuple[int, int, str]]) -> Pa
 def recording(root: Path, subject: str, region: str, stamp: str, channels: int = 3, trials: int = 6, cycles: int = 4, shift: float = 0.0) -> Path:
     """A full file: even trials at 0.5, odd ones shifted, with some spread per channel."""
     rows = [
-        cycle_row(trial, c, f"L{region}{c}", k, 0.5 + 0.01 * c + 0.001 * k + (shift if trial % 2 else 0.0))
+        cycle_row(trial, c, f"L{region}{c}", k, 0.5 + 0.01 * c + 0.001 * k + (shift + 0.002 * c if trial % 2 else 0.0))
         for trial in range(trials) for c in range(channels) for k in range(cycles)
     ]
     return feature_file(root, subject, region, stamp, rows)
