@@ -45,9 +45,10 @@ FEATURE_COLUMNS = tuple(SOURCE_COLUMNS)[3:]
 SYMMETRY_METRICS = {"time_ptsym": "ptsym", "time_rdsym": "rdsym"}
 
 PARTITION_KEYS = ("subject_id", "region", "extraction_id")
-SIGNAL_KEYS = ("subject_id", "region", "channel_label", "trial")
 CHANNEL_KEYS = ("subject_id", "region", "channel_label")
 TRIAL_KEYS = ("subject_id", "trial")
+# Trial keys first: rows sorted for per-signal windows are then sorted for joins on trials.
+SIGNAL_KEYS = (*TRIAL_KEYS, "region", "channel_label")
 CYCLE_ORDER = ("sample_last_trough", "sample_peak")
 
 # Order of the staging projection.

@@ -19,13 +19,24 @@ def null_if_token(cell: Column) -> Column:
 
 
 def strict_cell(cell: Column, kind: T.DataType) -> Column:
-    """Typed cell; a spelling that is neither NULL nor of the type fails the job."""
-    known = null_if_token(cell)
+    """Typed cell; a spelling that is neither NULL nor of the type fails the job.
+
+    Most cells are plain values, so they are cast first and looked at closer
+    only when that gives nothing (or NaN, which is also a NULL spelling).
+    """
     if isinstance(kind, T.StringType):
-        return known
-    bad = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), known))
-    typed = known.try_cast(kind)
-    return F.when(known.isNotNull() & typed.isNull(), bad.cast(kind)).otherwise(typed)
+        return null_if_token(cell)
+    typed = cell.try_cast(kind)
+    plain = typed.isNotNull()
+    if isinstance(kind, T.DoubleType):
+        plain = plain & ~F.isnan(typed)
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), cell)).cast(kind)
+    return (
+        F.when(plain, typed)
+        .when(cell.isNull() | cell.isin(*NULL_TOKENS), F.lit(None).cast(kind))
+        .when(typed.isNotNull(), typed)
+        .otherwise(bad)
+    )
 
 
 def lenient_double(cell: Column) -> Column:
@@ -44,5 +55,9 @@ def render_cell(name: str, value: Column) -> Column:
         return F.when(value, F.lit("True")).otherwise(F.lit("False"))
     number = value.cast("double")
     missing = number.isNull() | F.isnan(number)
-    text = value.cast("long").cast("string") if name.startswith("sample_") else F.format_string("%.6f", number)
+    if name.startswith("sample_"):
+        text = value.cast("long").cast("string")
+    else:  # a decimal prints the same digits several times faster, where it can hold the number
+        common = F.abs(number).between(1e-6, 1e20) | (number == 0)
+        text = F.when(common, number.cast("decimal(38,6)").cast("string")).otherwise(F.format_string("%.6f", number))
     return F.when(missing, F.lit("")).otherwise(text)

@@ -26,14 +26,15 @@ def channel_load(fact: DataFrame, settings: Settings, known_rows: int | None = N
 
     Medians are exact. Groups with more values than one task should hold get
     them by bracketing (see ``exact_medians``); all other measures combine
-    map-side and need no care.
+    map-side and need no care. Trials are counted apart and joined at channel
+    grain: a distinct count in the same aggregate would shuffle the median
+    buffers once per trial.
     """
     scale = settings.scale
     cycles = analysed_cycles(fact, settings.analysis.burst_only)
     medians = {"median_ptsym": "time_ptsym", "median_rdsym": "time_rdsym"}
     measures = [
         F.count("*").alias("n_cycles"),
-        F.countDistinct("trial").alias("n_trials"),
         F.avg("time_ptsym").alias("mean_ptsym"),
         F.stddev_samp("time_ptsym").alias("sd_ptsym"),
         F.avg("time_rdsym").alias("mean_rdsym"),
@@ -50,7 +51,8 @@ def channel_load(fact: DataFrame, settings: Settings, known_rows: int | None = N
         summary = join_on_keys(
             grouped.agg(*measures), exact_medians(cycles, LOAD_KEYS, medians, hot), LOAD_KEYS, "left", list(medians)
         )
-    return summary.select(
+    trials = cycles.groupBy(*LOAD_KEYS).agg(F.countDistinct("trial").alias("n_trials"))
+    return join_on_keys(summary, trials, LOAD_KEYS, "inner", ["n_trials"]).select(
         *LOAD_KEYS, "n_cycles", "n_trials", "mean_ptsym", "median_ptsym", "sd_ptsym",
         "mean_rdsym", "median_rdsym", "sd_rdsym", "mean_cycle_freq_hz", "mean_volt_amp", "extracted_at",
     )

@@ -13,6 +13,7 @@ from cyclemart.operators.runs import at_signal_edge, flagged_runs
 from cyclemart.plans import fact as core
 from cyclemart.plans import marts, report
 from cyclemart.plans.analysis import run_analysis
+from cyclemart.settings import tune
 from cyclemart.sources.lake import staged
 from cyclemart.sources.ledger import latest_run, of_latest_run
 from showcase import tables as t
@@ -357,7 +358,8 @@ def report_fixed_histogram(spark, sf):
 
 def flagship(spark, sf, settings):
     """Cycles to test results in one go: fact, channel marts, six tests."""
-    cycles = core.build_fact(t.features(spark, sf), t.trials(spark, sf), settings, t.known_rows(spark, sf))
-    load = marts.channel_load(cycles, settings, t.known_rows(spark, sf))
+    built = core.build_fact(t.features(tune(spark), sf), t.trials(spark, sf), settings, t.known_rows(spark, sf))
+    cycles = t.materialise(built, "flagship-fact")
+    load = marts.channel_load(cycles, settings, cycles.count())
     pairs = t.materialise(marts.channel_paired(load, settings), "flagship-paired")
     return run_analysis(pairs, settings.analysis)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cyclemart.settings import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -14,10 +17,14 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[name] = function
+        @wraps(function)
+        def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(tune(spark), sf_dir)
+
+        QUERIES[name] = tuned
         if sql is not None:
             SQL[name] = sql
-        return function
+        return tuned
 
     return add
 
