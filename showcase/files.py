@@ -114,7 +114,7 @@ OTHERS = [c for c in SOURCE_COLUMNS if c not in DOUBLES]
 
 
 def _scan(spark, sf) -> DataFrame:
-    return scan_features(spark, t.feature_tree(spark, sf), "run", AT, identity=naming.partition_identity)
+    return scan_features(spark, t.feature_tree(spark, sf), "run", AT, by_folder=True)
 
 
 @query("typed_csv_scan", with_ctes(f"""
@@ -189,7 +189,7 @@ def incremental_lake(spark, sf):
     """The same files taken as a stream in micro-batches, each replacing its partitions."""
     root, checkpoint = new_location(spark, "stream-lake"), new_location(spark, "stream-state")
     source = t.feature_tree(spark, sf)
-    features = scan_features(spark, source, "stream", AT, identity=naming.partition_identity, files_per_batch=150)
+    features = scan_features(spark, source, "stream", AT, by_folder=True, files_per_batch=150)
     stream = (
         features.writeStream.foreachBatch(lambda batch, _: write_lake(batch, root, SCALE.lake_file_bytes))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

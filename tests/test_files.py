@@ -46,10 +46,22 @@ def test_name_format_inverts_parse(spark):
     (f"X/HP/P60cs_HP_bycycle_features_{STAMP}.csv", "subject mismatch"),
     (f"P60cs_HP_bycycle_features_{STAMP}.csv", "expected <root>"),
     ("P60cs/HP/P60cs_HP_bycycle_features_20251399_999999.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_20240229_000000.csv", None),
+    ("P/HP/P_HP_bycycle_features_20230229_000000.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_20000229_235959.csv", None),
+    ("P/HP/P_HP_bycycle_features_21000229_000000.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_20250431_000000.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_20250601_240000.csv", "invalid timestamp"),
+    (f"P/merged/P_merged_bycycle_features_{STAMP}.csv", "merged session file"),
+    (f"P_1/HP/P_1_HP_bycycle_features_{STAMP}.csv", None),
+    (f"P/HP/more/P_HP_bycycle_features_{STAMP}.csv", "expected <root>"),
 ])
 def test_skip_reasons(spark, relative, reason):
     row = spark.createDataFrame([(relative,)], "p string")
-    found = row.select(naming.skip_reason(files.base_name(F.col("p")), F.col("p"))).first()[0]
+    found, loadable = row.select(
+        naming.skip_reason(files.base_name(F.col("p")), F.col("p")), naming.is_loadable(F.concat(F.lit("/a.b/"), F.col("p")), "/a.b")
+    ).first()
+    assert loadable == (reason is None)
     assert found is None if reason is None else reason in found
 
 
