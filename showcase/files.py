@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from cyclemart.functions import cells, naming
 from cyclemart.operators.staging_area import new_location
 from cyclemart.plans.analysis import run_analysis
 from cyclemart.plans.quality import run_checks
+from cyclemart.plans.warehouse import Warehouse
 from cyclemart.sources import extracts, files
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import loaded_rows, read_lake, write_lake
@@ -225,6 +227,24 @@ def trial_info_normalised(spark, sf):
     return normalise_trial_info(info, "patient", "row")
 
 
+@query("warehouse_rebuild", with_ctes("""
+SELECT t.subject_id, t.region, count(DISTINCT channel_label) AS n_channels, count(DISTINCT trial) AS n_trials, count(*) AS n_cycles,
+  count(*) FILTER (WHERE is_burst) AS n_burst_cycles, max(strptime(t.extraction_id, '%Y%m%d_%H%M%S')) AS extracted_at
+FROM tree AS t JOIN (SELECT subject_id, region, max(extraction_id) AS extraction_id FROM tree GROUP BY 1, 2) AS l
+  ON t.subject_id = l.subject_id AND t.region = l.region AND t.extraction_id = l.extraction_id
+GROUP BY t.subject_id, t.region""", "tree"))
+def warehouse_rebuild(spark, sf):
+    """From the lake to the coverage mart: newest extractions, fact, dimensions, marts."""
+    def build() -> DataFrame:
+        paths = replace(t.SETTINGS.paths, lake=_lake(spark, sf), tables=new_location(spark, "tables"))
+        warehouse = Warehouse(spark, replace(t.SETTINGS, paths=paths))
+        t.trials(spark, sf).write.parquet(warehouse.location("trial_metadata"))
+        return warehouse.build_marts(warehouse.build_core())["subject_coverage"]
+
+    coverage = t.once(spark, sf, "rebuilt", build)
+    return coverage.select("subject_id", "region", "n_channels", "n_trials", "n_cycles", "n_burst_cycles", "extracted_at")
+
+
 def _exports(spark, sf) -> str:
     def build() -> str:
         folder = new_location(spark, "exports")
