@@ -1,7 +1,7 @@
 """From sample tables to per-signal feature rows.
 
 Tables: ``samples(session_id, column_idx, t_index, value)``, one row per sample
-and channel; ``recordings(session_id, identifier, subject_field, session_field,
+and channel, each once; ``recordings(session_id, identifier, subject_field, session_field,
 start_time, rate, n_samples)``; ``electrodes(session_id, column_idx, location)``
 and ``trials(session_id, trial, onset_s, load, accuracy)``.
 """
@@ -11,14 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemart.contract import FEATURE_COLUMNS, SOURCE_COLUMNS
 from cyclemart.functions.recordings import epoch_bounds, hemisphere, region_code, session_code, subject_code
 from cyclemart.operators.intervals import points_in_windows
-from cyclemart.settings import Signal
+from cyclemart.operators.skew import hot_keys, number_rows
+from cyclemart.settings import Scale, Signal
 
 
 class SamplingRateError(ValueError):
@@ -39,20 +40,22 @@ def identify_recordings(recordings: DataFrame) -> DataFrame:
     })
 
 
-def channel_table(electrodes: DataFrame, regions: Iterable[str] | None = None) -> DataFrame:
+def channel_table(
+    electrodes: DataFrame, regions: Iterable[str] | None = None, scale: Scale = Scale(), known_rows: int | None = None
+) -> DataFrame:
     """Channels with region code, side and running label (``LHipp1``, ``LHipp2``…).
 
-    Labels are counted before any region is dropped. A window holds the
-    electrodes of one side and region of one recording.
+    Labels are counted before any region is dropped.
     """
     coded = electrodes.withColumns({
         "hemisphere": hemisphere(F.col("location")),
         "region": region_code(F.col("location")),
     })
-    within = Window.partitionBy("session_id", "hemisphere", "region").orderBy("column_idx")
-    labelled = coded.withColumn(
-        "channel_label", F.concat("hemisphere", "region", F.row_number().over(within).cast("string"))
-    )
+    keys = ["session_id", "hemisphere", "region"]
+    hot = hot_keys(coded, keys, scale.hot_group_rows, scale.broadcast_rows, known_rows)
+    numbered = number_rows(coded, keys, ["column_idx"], "_number", hot=hot)
+    label = F.concat("hemisphere", "region", F.col("_number").cast("string"))
+    labelled = numbered.withColumn("channel_label", label).drop("_number")
     return labelled if regions is None else labelled.filter(F.col("region").isin(*regions))
 
 

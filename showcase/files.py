@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cyclemart.contract import SOURCE_COLUMNS
 from cyclemart.functions import cells, naming
+from cyclemart.operators.skew import hot_keys
 from cyclemart.operators.staging_area import new_location
 from cyclemart.plans.analysis import run_analysis
 from cyclemart.plans.quality import run_checks
@@ -124,7 +125,7 @@ SELECT {', '.join(OTHERS)}, {', '.join(_six(c) for c in DOUBLES)}, subject_id, r
   strptime(extraction_id, '%Y%m%d_%H%M%S') AS extracted_at, 'run' AS run_id, TIMESTAMP '2025-06-01 09:15:00' AS loaded_at FROM tree""", "tree"))
 def typed_csv_scan(spark, sf):
     """All line items back from CSV with strict types, NULL spellings and lineage."""
-    return _scan(spark, sf).drop("source_file", "_block")
+    return _scan(spark, sf).drop("source_file", "_block", "_size")
 
 
 @query("rendered_cells", with_ctes("""
@@ -224,7 +225,8 @@ def trial_info_normalised(spark, sf):
         F.col("c_nationkey").alias("patient"), F.col("o_orderkey").alias("row"), t.condition().alias("SetSize"),
         (F.col("o_orderstatus") == "F").cast("int").alias("Accuracy"),
     )
-    return normalise_trial_info(info, "patient", "row")
+    hot = hot_keys(info, ["patient"], SCALE.hot_group_rows, SCALE.broadcast_rows, t.read(spark, sf, "orders").count())
+    return normalise_trial_info(info, "patient", "row", hot=hot)
 
 
 @query("warehouse_rebuild", with_ctes("""

@@ -302,7 +302,9 @@ def recording_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         _recording().alias("session_id"), "vec_id", (F.col("vec_id") % SAMPLES_PER_RECORDING / F.lit(10.0)).alias("onset_s"),
         (F.col("vec_id") % 3 + 1).alias("load"), (F.col("vec_id") % 2).alias("accuracy"),
     )
-    return number_rows(onsets, ["session_id"], ["vec_id"], "trial").withColumn("trial", F.col("trial") - 1)
+    scale, vectors = SETTINGS.scale, read(spark, sf_dir, "embeddings")
+    hot = hot_keys(onsets, ["session_id"], scale.hot_group_rows, scale.broadcast_rows, vectors.count())
+    return number_rows(onsets, ["session_id"], ["vec_id"], "trial", hot=hot).withColumn("trial", F.col("trial") - 1)
 
 
 def ordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
