@@ -68,7 +68,7 @@ def _t(mean: Column, square_sum: Column, n: Column) -> Column:
     return F.when(spread > 0, mean / F.sqrt(spread / (n - F.lit(1.0)))).otherwise(F.lit(0.0))
 
 
-def _long(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence[str], *keep: str) -> DataFrame:
+def unit_values(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence[str], *keep: str) -> DataFrame:
     """One row per (unit, test)."""
     items = F.array(*[
         F.struct(
@@ -87,7 +87,7 @@ def describe_tests(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence
     """Observed statistic, effect size and means per (family, test)."""
     if statistic not in STATISTICS:
         raise ValueError(f"unknown statistic: {statistic}")
-    summary = _long(units, tests, by).groupBy(*by, "test_no").agg(
+    summary = unit_values(units, tests, by).groupBy(*by, "test_no").agg(
         F.count("*").alias("n_units"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("sd"),
@@ -120,7 +120,7 @@ def sign_flip_sums(
         .withColumn("_digest", _words(F.lit(str(seed)), F.lit("flip"), F.col("block"), F.col(unit)))
         .withColumns({"_w0": _word(F.col("_digest"), 0), "_w1": _word(F.col("_digest"), 1)})
     )
-    signed = _long(hashed, tests, [*by, "block", "_w0", "_w1"])
+    signed = unit_values(hashed, tests, [*by, "block", "_w0", "_w1"])
     sums = []
     for bit in range(FLIPS_PER_HASH):
         word = F.col(f"_w{bit // 32}").bitwiseAND(1 << (bit % 32))

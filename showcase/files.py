@@ -19,7 +19,7 @@ from cyclemart.sources import extracts, files
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import loaded_rows, read_lake, write_lake
 from cyclemart.sources.ledger import Ledger
-from cyclemart.sources.trials import normalise_trial_info, reload_trials, scan_trials
+from cyclemart.sources.trials import normalise_trial_info, reload_trials
 from showcase import tables as t
 from showcase.core import PAIRED_ROUNDED
 from showcase.registry import query, rounded
@@ -203,14 +203,16 @@ def incremental_lake(spark, sf):
 
 @query("trial_metadata_reload", with_ctes("SELECT * FROM trial_metadata", "trial_metadata"))
 def trial_metadata_reload(spark, sf):
-    """Trial metadata written as CSV, scanned strictly, and reloaded as a table."""
+    """Trial metadata written as CSV, scanned strictly and loaded twice: the table is replaced."""
     def build() -> str:
         root = new_location(spark, "trial-csv")
         rows = t.trials(spark, sf).select("subject_id", "trial", "load_condition", F.initcap(F.col("correct").cast("string")).alias("correct"))
         rows.write.option("header", "true").csv(root)
         return root
 
-    return scan_trials(spark, t.once(spark, sf, "trial-csv", build), "run", "*.csv")
+    root, table = t.once(spark, sf, "trial-csv", build), new_location(spark, "trial-table")
+    reload_trials(spark, root, "earlier", table, "*.csv")
+    return reload_trials(spark, root, "run", table, "*.csv")
 
 
 @query("trial_info_normalised", """

@@ -30,7 +30,7 @@ def _labelled(df: DataFrame) -> DataFrame:
 
 @query("test_units", with_ctes(f"SELECT metric, test, unit, {r('value', 'interval_value', 'x', 'y')} FROM long_units", "long_units"))
 def test_units(spark, sf):
-    return rounded(_labelled(rs._long(_units(spark, sf), TESTS, ["unit"])))
+    return rounded(_labelled(rs.unit_values(_units(spark, sf), TESTS, ["unit"])))
 
 
 @query("observed_statistics", with_ctes(f"""
