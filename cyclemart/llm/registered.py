@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing it registers them."""
 
-from cyclemart.llm import op01, op04, op10  # noqa: F401
+from cyclemart.llm import op01, op03, op04, op07, op10  # noqa: F401
 from cyclemart.llm.tables import QUERIES, SQL  # noqa: F401
