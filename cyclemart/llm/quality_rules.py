@@ -152,3 +152,14 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     """``docs`` with measures, broken_rules and kept. Columns of ``docs`` that carry one of
     these names are replaced."""
     return judged(measured(docs, text), rules)
+
+
+def passing(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = PROSE_RULES) -> DataFrame:
+    """Rows of ``docs`` that break no rule, with the columns of ``docs``.
+
+    The partition's number stands beside the verdict because Spark pushes no filter below
+    a projection that holds it; pushed down, the measures would be worked out again for every
+    use, and the words again for each of them.
+    """
+    judged_rows = quality_rules(docs, text, rules).withColumn("_partition", F.spark_partition_id())
+    return judged_rows.filter("kept AND _partition >= 0").select(*docs.columns)
