@@ -98,7 +98,7 @@ def _passages(n: int, margin: int, shared_map):
 def _cut_block(batch, words: wordhash.Words, hashes, at, n: int, margin: int) -> pa.RecordBatch:
     text_of = words.texts[at]
     breaks = np.flatnonzero((np.diff(at) > 2 * margin) | (np.diff(text_of) > 0)) + 1
-    rows, starts, texts, grams = [], [], [], []
+    rows, starts, texts, grams, places = [], [], [], [], []
     last_word = np.cumsum(words.counts)
     for part in np.split(np.arange(len(at)), breaks):
         t = text_of[part[0]]
@@ -107,10 +107,12 @@ def _cut_block(batch, words: wordhash.Words, hashes, at, n: int, margin: int) ->
         rows.append(t + words.first)
         starts.append(low - base)
         texts.append(b" ".join([words.word(i) for i in range(low, high)]).decode())
-        grams.append(np.unique(hashes[part]).view(np.int64))
+        grams.append(hashes[part].view(np.int64))
+        places.append(at[part] - base)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(texts), pa.array(grams, pa.list_(pa.int64()))],
-        ["doc_id", "start", "passage", "grams"],
+        [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(texts),
+         pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))],
+        ["doc_id", "start", "passage", "grams", "places"],
     )
 
 
@@ -162,6 +164,21 @@ def _aligned(p: Decontamination):
     return score
 
 
+def _aligned_share(p: Decontamination):
+    """(id, label, item, passage) to (id, label, share of the item's own score)."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        for batch in batches:
+            items, passages = _hash_words(batch.column(2)), _hash_words(batch.column(3))
+            shares = [align(a, b, p)[0] / (p.match * len(a)) if len(a) else 0.0 for a, b in zip(items, passages, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["doc_id", "label", "share"]
+            )
+
+    return score
+
+
 def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:
     """Documents that hold a test item, or an edited copy of it.
 
@@ -184,11 +201,11 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = D
     shared_map = spark.sparkContext.broadcast(_hit_map(grams))
     passages = written(
         docs.select("doc_id", "text").mapInArrow(
-            _passages(p.seed_words, longest, shared_map), "doc_id long, start long, passage string, grams array<long>"
+            _passages(p.seed_words, longest, shared_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
         ).withColumn("passage_id", F.monotonically_increasing_id()), "passages",
     )
 
-    hits = passages.select("passage_id", F.explode("grams").alias("gram"))
+    hits = passages.select("passage_id", F.explode(F.array_distinct("grams")).alias("gram"))
     counts = hits.groupBy("gram").agg(F.count("*").alias("n_passages"))
     ranked = grams.join(counts, "gram")  # an n-gram that no passage has cannot be met
     around = Window.partitionBy("item").orderBy("place")
