@@ -1,19 +1,18 @@
 """Near-duplicate documents: banded MinHash, odd sketches, exact confirmation, components.
 
 1. One pass turns each text into its set of word shingles, a 128-bit digest of the
-   set, ``bands`` band hashes of ``rows`` MinHash values each, and an odd sketch: a
-   1024-bit map in which each (hash function, value) toggles one bit. The XOR of
-   two sketches has the symmetric difference of the two samples, so its population
-   count estimates the similarity, most precisely where it is high.
+   set, ``bands`` band hashes of ``rows`` MinHash values each, and two odd sketches of 1024
+   bits. In one, each (hash function, MinHash value) toggles a bit, in the other each shingle does.
+   The XOR of two sketches has the symmetric difference of what was folded in, so its
+   population count estimates the similarity, most precisely where it is high. For whole
+   sets it is also a proof: the sets differ in at least as many shingles as bits are set.
 2. Rows with equal sets become one node; copies never meet as pairs.
 3. Nodes that share a band are candidates. Each band bucket compares its members
    with one leader (linear in the bucket), a few times with other leaders, while
    components close buckets whose members are already connected.
-4. Pairs still open are compared one by one, except where the triangle inequality
-   of the Jaccard distance rules a link out (one is within 0.2 of a leader, the other farther
-   than 0.4 from it). So no link between different texts gets lost in a bucket.
-5. Candidates whose sketches are far too different are dropped; the others are
-   confirmed on the shingles themselves.
+4. Members of a bucket that are still apart are compared one by one, as far as their
+   sketches allow a link. So no link between different texts gets lost in a bucket.
+5. Links are confirmed on the shingles themselves.
 
 Two sets of similarity 0.8 share no band with a probability below 3e-7.
 """
@@ -26,7 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemart.llm import wordhash
@@ -40,8 +39,8 @@ SKETCH_LONGS = 16
 class NearDuplicates:
     """``shingle`` words make a shingle; sets link where 100 * intersection >= ``percent`` * union.
 
-    ``far_bits``: candidates whose odd sketches differ in more bits are dropped;
-    195 is over six standard deviations above what a similarity of 0.8 gives.
+    ``far_bits``: candidates whose odd sketches of MinHash values differ in more bits are
+    dropped; 195 is six standard deviations above what a similarity of 0.8 gives.
     ``leader_rounds``: how often buckets try another leader before open pairs are compared.
     """
 
@@ -98,6 +97,7 @@ def _signed(p: NearDuplicates, with_bands: bool, text: str):
             n = batch.num_rows
             sizes = np.zeros(n, np.int64)
             digest = np.zeros((2, n), np.uint64)
+            parity = np.zeros((n, SKETCH_LONGS), np.int64)
             values = np.zeros((n, len(factors)), np.uint32) if with_bands else None
             for words in wordhash.blocks(batch.column(batch.schema.get_field_index(text)), wordhash.SPACED):
                 for i, shingles in enumerate(_sets(words, p.shingle), words.first):
@@ -106,12 +106,13 @@ def _signed(p: NearDuplicates, with_bands: bool, text: str):
                         digest[0, i] = wordhash.mix(shingles ^ np.uint64(0x243F6A8885A308D3)).sum(dtype=np.uint64)
                         digest[1, i] = wordhash.mix(shingles + np.uint64(0x13198A2E03707344)).sum(dtype=np.uint64)
                         if with_bands:
+                            parity[i] = _parity(wordhash.mix(shingles + np.uint64(0xA4093822299F31D0))[None, :])
                             values[i] = _min_values(shingles, factors, room)
             columns = [pa.array(sizes), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64))]
             names = ["n_shingles", "set_a", "set_b"]
             if with_bands:
-                columns += _bands_and_sketch(values, p, salt, weight, band_salt)
-                names += ["bands", "sketch"]
+                columns += [*_bands_and_sketch(values, p, salt, weight, band_salt), _lists(parity)]
+                names += ["bands", "sketch", "parity"]
             kept = [k for k in range(batch.num_columns) if with_bands is False or batch.schema.field(k).name != text]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in kept] + columns, [batch.schema.field(k).name for k in kept] + names
@@ -120,6 +121,19 @@ def _signed(p: NearDuplicates, with_bands: bool, text: str):
     return sign
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """An odd sketch of each row of hashes."""
+    size = 64 * SKETCH_LONGS
+    place = (hashes % np.uint64(size)).astype(np.int64) + np.arange(len(hashes))[:, None] * size
+    odd = (np.bincount(place.ravel(), minlength=len(hashes) * size) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(len(hashes), SKETCH_LONGS)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    starts = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(matrix.reshape(-1).view(np.int64)))
+
+
 def _bands_and_sketch(values, p: NearDuplicates, salt, weight, band_salt) -> list[pa.Array]:
     n = len(values)
     bands = np.empty((n, p.bands), np.uint64)
@@ -128,23 +142,15 @@ def _bands_and_sketch(values, p: NearDuplicates, salt, weight, band_salt) -> lis
         piece = values[at:at + 512].astype(np.uint64)
         grouped = piece.reshape(len(piece), p.bands, p.rows)
         bands[at:at + 512] = wordhash.mix((wordhash.mix(grouped) * weight).sum(axis=2, dtype=np.uint64) + band_salt)
-        bits = (wordhash.mix(piece + salt) % np.uint64(64 * SKETCH_LONGS)).astype(np.int64)
-        place = bits + np.arange(len(piece))[:, None] * (64 * SKETCH_LONGS)
-        odd = (np.bincount(place.ravel(), minlength=len(piece) * 64 * SKETCH_LONGS) & 1).astype(np.uint8)
-        maps[at:at + 512] = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(piece), SKETCH_LONGS)
-
-    def lists(matrix: np.ndarray) -> pa.Array:
-        starts = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(starts), pa.array(matrix.reshape(-1).view(np.int64)))
-
-    return [lists(bands), lists(maps)]
+        maps[at:at + 512] = _parity(wordhash.mix(piece + salt))
+    return [_lists(bands), _lists(maps)]
 
 
 def signatures(docs: DataFrame, p: NearDuplicates, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with set size, set digest, band hashes and odd sketch."""
+    """``docs`` without its text, with set size, set digest, band hashes and odd sketches."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
     return docs.mapInArrow(
-        _signed(p, True, text), f"{schema}, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
+        _signed(p, True, text), f"{schema}, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>, parity array<long>"
     )
 
 
@@ -187,17 +193,30 @@ def _compared(n: int):
     return compare
 
 
-def _similarities(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, p: NearDuplicates) -> DataFrame:
-    """(a, b, common, total) of pairs whose sketches are near; other pairs drop out."""
-    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("_sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("_sb"))
-    near = pairs.join(left, "a").join(right, "b").filter(_differing_bits("_sa", "_sb") <= p.far_bits).select("a", "b")
+def _sketched(nodes: DataFrame, name: str) -> DataFrame:
+    return nodes.select(
+        F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n_shingles", "sketch", "parity")]
+    )
+
+
+def _may_link(p: NearDuplicates) -> Column:
+    """Whether sketches of a and b allow a link: the sets may differ in (100 - percent) of each
+    (100 + percent) of their shingles together."""
+    apart = (100 + p.percent) * _differing_bits("parity_a", "parity_b")
+    return (apart <= (100 - p.percent) * (F.col("n_shingles_a") + F.col("n_shingles_b"))) & (
+        _differing_bits("sketch_a", "sketch_b") <= p.far_bits
+    )
+
+
+def _links(pairs: DataFrame, texts: DataFrame, p: NearDuplicates) -> DataFrame:
+    """Those of the pairs (a, b) that link, confirmed on whole texts."""
     with_texts = (
-        near.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_ta")), "a")
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("_ta")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("_tb")), "b")
         .select("a", "b", "_ta", "_tb")
     )
-    return with_texts.mapInArrow(_compared(p.shingle), "a long, b long, common long, total long")
+    compared = with_texts.mapInArrow(_compared(p.shingle), "a long, b long, common long, total long")
+    return written(compared.filter(100 * F.col("common") >= p.percent * F.col("total")).select("a", "b"), "links")
 
 
 def _relabel(labels: DataFrame, linked: DataFrame) -> DataFrame:
@@ -227,11 +246,12 @@ def near_duplicate_components(docs: DataFrame, p: NearDuplicates = NearDuplicate
     full = signed.filter("n_shingles > 0")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))
     nodes = full.groupBy("set_a", "set_b").agg(
-        first.alias("_first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        first.alias("_first"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch", "parity")]
     )
     nodes = written(
         nodes.select(
-            "set_a", "set_b", F.col("_first.doc_id").alias("doc_id"), F.col("_first._key").alias("_key"), "bands", "sketch"
+            "set_a", "set_b", F.col("_first.doc_id").alias("doc_id"), F.col("_first._key").alias("_key"),
+            "n_shingles", "bands", "sketch", "parity",
         ).withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -246,7 +266,6 @@ def near_duplicate_components(docs: DataFrame, p: NearDuplicates = NearDuplicate
     ).select("node", "text")
     texts = written(texts.dropDuplicates(["node"]), "texts")
 
-    leaders = measured = None
     for round_ in range(p.leader_rounds):
         labelled = members.join(labels, "node")
         spread = labelled.groupBy("bucket").agg(
@@ -255,19 +274,15 @@ def near_duplicate_components(docs: DataFrame, p: NearDuplicates = NearDuplicate
             F.min_by("label", F.xxhash64(F.col("node"), F.lit(round_))).alias("leader_label"),
         ).filter("_low < _high").select("bucket", "leader", "leader_label")
         spread = written(spread, "spread")
-        if round_ == 0:
-            leaders = spread.select("bucket", "leader")
-        elif spread.isEmpty():
+        if round_ and spread.isEmpty():
             break
         pairs = (
             labelled.join(spread, "bucket").filter("label <> leader_label")
             .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         )
-        found = written(_similarities(pairs, nodes, texts, p), "similar")
-        measured = found if round_ == 0 else measured
-        labels = _relabel(labels, found.filter(100 * F.col("common") >= p.percent * F.col("total")))
-
-    labels = _relabel(labels, _open_links(members, labels, leaders, measured, nodes, texts, p))
+        near = pairs.join(_sketched(nodes, "a"), "a").join(_sketched(nodes, "b"), "b").filter(_may_link(p)).select("a", "b")
+        labels = _relabel(labels, _links(near, texts, p))
+    labels = _relabel(labels, _links(_open_pairs(members, labels, nodes, p), texts, p))
     per_node = nodes.join(labels, "node", "left").select(
         "set_a", "set_b", "doc_id", F.coalesce("label", "node").alias("label")
     )
@@ -281,42 +296,16 @@ def near_duplicate_components(docs: DataFrame, p: NearDuplicates = NearDuplicate
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _open_links(members, labels, leaders, measured, nodes, texts, p: NearDuplicates) -> DataFrame:
-    """Linked pairs among bucket members whose labels still differ.
-
-    ``near``: within the link distance of the bucket's first leader; ``far``: over
-    twice that distance (or dropped by the sketches). A near and a far member cannot link.
-    """
+def _open_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, p: NearDuplicates) -> DataFrame:
+    """Pairs of bucket members with different labels that may link."""
     labelled = members.join(labels, "node")
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
-    side = measured.select("a", "b", "common", "total")
-    to_leader = side.select(F.col("a").alias("node"), F.col("b").alias("leader"), "common", "total").unionByName(
-        side.select(F.col("b").alias("node"), F.col("a").alias("leader"), "common", "total")
-    )
-    similarity = F.when(F.col("node") == F.col("leader"), 100.0).otherwise(100 * F.col("common") / F.col("total"))
-    place = (
-        F.when(similarity >= p.percent, "near").when(similarity < 2 * p.percent - 100, "far")
-        .when(similarity.isNull(), "far").otherwise("between")
-    )
-    opened = (
-        labelled.join(mixed.select("bucket"), "bucket").join(leaders, "bucket").join(to_leader, ["node", "leader"], "left")
-        .select("bucket", "node", "label", place.alias("place"))
-    )
-    opened = written(opened, "open")
-    # A bucket whose non-near members are all far needs only those.
-    states = opened.groupBy("bucket").agg(
-        F.bool_or(F.col("place") == "between").alias("_between"),
-        F.min(F.when(F.col("place") == "near", F.col("label"))).alias("_near_low"),
-        F.max(F.when(F.col("place") == "near", F.col("label"))).alias("_near_high"),
-    )
-    needed = opened.join(states, "bucket").filter(
-        (F.col("place") != "near") | F.col("_between") | (F.col("_near_low") < F.col("_near_high"))
-    ).select("bucket", "node", "label", "place")
-    left = needed.select("bucket", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("place").alias("_pa"))
-    right = needed.select("bucket", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("place").alias("_pb"))
-    pairs = left.join(right, "bucket").filter(
-        (F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb"))
-        & ~((F.col("_pa") == "near") & (F.col("_pb") == "far")) & ~((F.col("_pa") == "far") & (F.col("_pb") == "near"))
-    ).select("a", "b").distinct()
-    found = _similarities(pairs, nodes, texts, p)
-    return written(found.filter(100 * F.col("common") >= p.percent * F.col("total")), "open-links")
+    opened = written(labelled.join(mixed.select("bucket"), "bucket"), "open")
+
+    def side(name: str) -> DataFrame:
+        named = opened.select("bucket", F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
+        return named.join(_sketched(nodes, name), name)
+
+    meeting = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _may_link(p)
+    left, right = side("a"), side("b").withColumnRenamed("bucket", "_bucket")
+    return left.join(right, (F.col("bucket") == F.col("_bucket")) & meeting).select("a", "b").distinct()
