@@ -309,3 +309,23 @@ def _open_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, p: Near
     meeting = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _may_link(p)
     left, right = side("a"), side("b").withColumnRenamed("bucket", "_bucket")
     return left.join(right, (F.col("bucket") == F.col("_bucket")) & meeting).select("a", "b").distinct()
+
+
+def deduplicated(docs: DataFrame, p: NearDuplicates = NearDuplicates()) -> DataFrame:
+    """One row of each near-duplicate class, with all its columns; rows without words all stay.
+
+    The row that stays has the smallest doc_id of its class; of repeated rows, one.
+    """
+    classes = near_duplicate_components(docs, p).filter("kept AND n_shingles > 0")
+    key = F.xxhash64("doc_id", "set_a", "set_b")  # copies have doc_ids of their own, so no key is hot
+    staying = classes.select(
+        key.alias("_key"), F.col("doc_id").alias("_id"), F.col("set_a").alias("_a"), F.col("set_b").alias("_b")
+    ).distinct()
+    marked = digests(docs, p).withColumn("_key", key)
+    same = (
+        (marked._key == staying._key) & (marked.set_a == staying._a) & (marked.set_b == staying._b)
+        & marked.doc_id.eqNullSafe(staying._id)
+    )
+    joined = marked.join(staying, same, "left").select(*[marked[c] for c in marked.columns], F.col("_a").isNotNull().alias("_stays"))
+    place = F.row_number().over(Window.partitionBy("_key", "set_a", "set_b").orderBy(F.xxhash64("text")))
+    return joined.withColumn("_place", place).filter("n_shingles = 0 OR (_stays AND _place = 1)").select(*docs.columns)
