@@ -107,19 +107,26 @@ def analysed_cycles(spark, sf):
 
 
 @query("channel_dimension", with_ctes(f"""
-SELECT {KEYS}, min(channel_idx) AS channel_idx, count(*) AS n_cycles, count(*) FILTER (WHERE is_burst) AS n_burst_cycles,
-  count(DISTINCT trial) AS n_trials, count(DISTINCT load_condition) AS n_conditions,
-  round(avg(cycle_freq_hz), 9) AS mean_cycle_freq_hz,
-  CAST(sum(CASE WHEN time_ptsym IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null_ptsym, max(extracted_at) AS extracted_at
-FROM fact GROUP BY {KEYS}""", "fact"))
+SELECT {KEYS}, min(first_idx) AS channel_idx, CAST(sum(n) AS BIGINT) AS n_cycles, CAST(sum(bursts) AS BIGINT) AS n_burst_cycles,
+  count(*) AS n_trials, CAST(len(list_distinct(flatten(list(loads)))) AS BIGINT) AS n_conditions,
+  round(sum(freq_sum) / sum(freq_n), 9) AS mean_cycle_freq_hz, CAST(sum(n - ptsym_n) AS BIGINT) AS n_null_ptsym, max(newest) AS extracted_at
+FROM (
+  SELECT {KEYS}, trial, min(channel_idx) AS first_idx, count(*) AS n, count_if(is_burst) AS bursts, list(DISTINCT load_condition) FILTER (load_condition IS NOT NULL) AS loads,
+    sum(cycle_freq_hz) AS freq_sum, count(cycle_freq_hz) AS freq_n, count(time_ptsym) AS ptsym_n, max(extracted_at) AS newest
+  FROM fact GROUP BY ALL
+) AS signals GROUP BY {KEYS}""", "fact"))
 def channel_dimension(spark, sf):
     return rounded(core.channel_dimension(t.rollup(spark, sf)))
 
 
 @query("trial_dimension", with_ctes("""
-SELECT subject_id, trial, max(load_condition) AS load_condition, bool_or(trial_correct) AS trial_correct,
-  count(DISTINCT channel_label) AS n_channels, count(*) AS n_cycles, count(*) FILTER (WHERE is_burst) AS n_burst_cycles,
-  bool_or(load_condition IS NULL) AS missing_condition FROM fact GROUP BY subject_id, trial""", "fact"))
+SELECT subject_id, trial, max(top) AS load_condition, max(right_) AS trial_correct, count(*) AS n_channels,
+  CAST(sum(n) AS BIGINT) AS n_cycles, CAST(sum(bursts) AS BIGINT) AS n_burst_cycles, sum(n) > sum(labelled) AS missing_condition
+FROM (
+  SELECT subject_id, trial, channel_label, max(load_condition) AS top, max(trial_correct) AS right_, count(*) AS n,
+    count_if(is_burst) AS bursts, count(load_condition) AS labelled
+  FROM fact GROUP BY ALL
+) AS channels GROUP BY subject_id, trial""", "fact"))
 def trial_dimension(spark, sf):
     return core.trial_dimension(t.rollup(spark, sf))
 

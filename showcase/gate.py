@@ -15,26 +15,25 @@ from showcase.sql import with_ctes
 AT = datetime(2025, 6, 1, 9, 15)
 
 OBSERVED = """
-SELECT 'fact_not_empty' AS check_name, CAST(count(*) AS DOUBLE) AS observed FROM fact
-UNION ALL SELECT 'cycle_grain_unique', count(*) FROM (SELECT 1 FROM fact
-  GROUP BY subject_id, region, channel_label, trial, cycle_idx HAVING count(*) > 1) AS a
-UNION ALL SELECT 'single_extraction_per_partition', count(*) FROM (SELECT 1 FROM fact
-  GROUP BY subject_id, region HAVING count(DISTINCT extraction_id) > 1) AS b
-UNION ALL SELECT 'symmetry_null_fraction', coalesce(sum(CASE WHEN time_ptsym IS NULL OR time_rdsym IS NULL THEN 1e0 ELSE 0e0 END) / nullif(count(*), 0), 0) FROM fact
-UNION ALL SELECT 'symmetry_within_bounds', count(*) FROM fact WHERE (time_ptsym IS NOT NULL AND (time_ptsym < 0 OR time_ptsym > 1))
-  OR (time_rdsym IS NOT NULL AND (time_rdsym < 0 OR time_rdsym > 1))
-UNION ALL SELECT 'trial_condition_coverage', coalesce(sum(CASE WHEN load_condition IS NULL THEN 1e0 ELSE 0e0 END) / nullif(count(*), 0), 1) FROM fact
-UNION ALL SELECT 'channel_dropout', coalesce(count(*) FILTER (WHERE NOT included) * 1e0 / nullif(count(*), 0), 1) FROM paired
-UNION ALL SELECT 'paired_units_sufficient', count(*) FROM paired WHERE included
-UNION ALL SELECT 'cycle_frequency_in_band', coalesce(sum(CASE WHEN cycle_freq_hz < 3e0 * 0.6e0 OR cycle_freq_hz > 7e0 * 1.6e0 THEN 1e0 ELSE 0e0 END) / nullif(count(*), 0), 0)
-  FROM fact WHERE cycle_freq_hz IS NOT NULL
-UNION ALL SELECT 'burst_fraction_plausible', coalesce(count(*) FILTER (WHERE is_burst) * 1e0 / nullif(count(*), 0), 0) FROM fact
-UNION ALL SELECT 'trial_coverage_gaps', coalesce(sum(CASE WHEN f.trial IS NULL THEN 1e0 ELSE 0e0 END) / nullif(count(*), 0), 0)
-  FROM trial_metadata AS t LEFT JOIN (SELECT DISTINCT subject_id, trial FROM fact) AS f ON t.subject_id = f.subject_id AND t.trial = f.trial
-UNION ALL SELECT 'no_orphan_trials', count(*) FROM trial_metadata AS t
-  LEFT JOIN (SELECT DISTINCT subject_id, trial FROM fact) AS f ON t.subject_id = f.subject_id AND t.trial = f.trial WHERE f.trial IS NULL
-UNION ALL SELECT 'natural_key_unique', count(*) FROM (SELECT 1 FROM fact
-  GROUP BY subject_id, region, channel_label, trial, sample_last_trough HAVING count(*) > 1) AS c"""
+SELECT unnest(map_entries(MAP {
+    'fact_not_empty': n, 'symmetry_null_fraction': ifnull(unknown / n, 0), 'symmetry_within_bounds': outside,
+    'trial_condition_coverage': ifnull(unlabelled / n, 1), 'burst_fraction_plausible': ifnull(bursts / n, 0),
+    'cycle_frequency_in_band': ifnull(off_band / nullif(timed, 0), 0), 'channel_dropout': ifnull((units - good) / nullif(units, 0), 1),
+    'paired_units_sufficient': good, 'cycle_grain_unique': twice, 'natural_key_unique': again,
+    'single_extraction_per_partition': mixed, 'no_orphan_trials': orphans, 'trial_coverage_gaps': ifnull(orphans / nullif(listed, 0), 0)
+  })) AS entry
+FROM (
+  SELECT count(*) AS n, count_if((time_ptsym + time_rdsym) IS NULL) * 1e0 AS unknown,
+    count_if(greatest(time_ptsym, time_rdsym) > 1 OR least(time_ptsym, time_rdsym) < 0) AS outside,
+    count_if(load_condition IS NULL) * 1e0 AS unlabelled, count_if(is_burst) * 1e0 AS bursts,
+    count(cycle_freq_hz) AS timed, count_if(cycle_freq_hz NOT BETWEEN 3e0 * 0.6e0 AND 7e0 * 1.6e0) * 1e0 AS off_band
+  FROM fact
+) AS cycles, (SELECT count(*) * 1e0 AS units, count_if(included) * 1e0 AS good FROM paired) AS pairs,
+(SELECT count_if(n > 1) AS twice FROM (SELECT count(*) AS n FROM fact GROUP BY subject_id, region, channel_label, trial, cycle_idx) AS g) AS grain,
+(SELECT count_if(n > 1) AS again FROM (SELECT count(*) AS n FROM fact GROUP BY subject_id, region, channel_label, trial, sample_last_trough) AS g) AS natural_key,
+(SELECT count_if(low < high) AS mixed FROM (SELECT min(extraction_id) AS low, max(extraction_id) AS high FROM fact GROUP BY subject_id, region) AS g) AS extractions,
+(SELECT count(*) * 1e0 AS listed FROM trial_metadata) AS trials,
+(SELECT count(*) * 1e0 AS orphans FROM trial_metadata ANTI JOIN fact USING (subject_id, trial)) AS unmatched"""
 
 LIMITS = """
 SELECT * FROM (VALUES ('fact_not_empty', 'error', '>', 0e0), ('cycle_grain_unique', 'error', '==', 0e0),
@@ -46,9 +45,9 @@ SELECT * FROM (VALUES ('fact_not_empty', 'error', '>', 0e0), ('cycle_grain_uniqu
   ('natural_key_unique', 'error', '==', 0e0)) AS v(check_name, severity, comparison, threshold)"""
 
 JUDGED = f"""
-SELECT l.check_name, severity, CASE comparison WHEN '<=' THEN observed <= threshold WHEN '>=' THEN observed >= threshold
+SELECT check_name, severity, CASE comparison WHEN '<=' THEN observed <= threshold WHEN '>=' THEN observed >= threshold
   WHEN '>' THEN observed > threshold ELSE observed = threshold END AS passed, observed, threshold
-FROM ({LIMITS}) AS l JOIN ({OBSERVED}) AS o ON l.check_name = o.check_name"""
+FROM ({LIMITS}) AS l JOIN (SELECT entry.key AS check_name, CAST(entry.value AS DOUBLE) AS observed FROM ({OBSERVED}) AS e) AS o USING (check_name)"""
 
 
 def _outcomes(spark, sf):
