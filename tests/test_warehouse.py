@@ -1,6 +1,7 @@
 """Whole runs on contract files: results, reruns, re-extraction, gate, stream."""
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from cyclemart.settings import Analysis, Paths, Settings
 from cyclemart.sources.extracts import missing_extracts, read_extract, read_manifest
 from cyclemart.sources.ledger import latest_run_id, of_latest_run
 from cyclemart.streaming.arrivals import watch
-from tests.fixtures import conditions, cycle_row, feature_file, recording, trial_file
+from tests.fixtures import HEADER, conditions, cycle_row, feature_file, recording, trial_file
 
 STAMP, LATER = "20250601_091500", "20250701_091500"
 ANALYSIS = Analysis(min_cycles=3, n_permutations=1000, n_bootstrap=200)
@@ -160,6 +161,44 @@ def test_arrivals_as_a_stream(spark, tmp_path):
     assert [h.files_loaded for h in health] == [1, 1, 1] and health[2].dq_errors > 0 and math.isclose(health[0].rows_loaded, 72)
 
 
+def test_a_bad_file_does_not_cost_the_others(spark, tmp_path):
+    """Reordered, narrow, header-only, zero-byte and merged files arrive with good ones, and one is repaired later."""
+    root = tmp_path / "source_root"
+    w = warehouse(spark, tmp_path)
+    sources(tmp_path, ("P1", "P2"))
+    names = HEADER.split(",")
+    swapped = feature_file(root, "P7", "HP", STAMP, [cycle_row(0, 0, "A1", 0, 0.5)], ",".join([names[1], names[0], *names[2:]]))
+    feature_file(root, "P8", "HP", STAMP, ["1,2"], "a,b")
+    feature_file(root, "P9", "HP", STAMP, [])
+    (root / "P1" / f"P1_merged_bycycle_features_{STAMP}.csv").write_text("x")
+    feature_file(root, "P6", "HP", STAMP, []).write_text("")
+    watch(w, str(tmp_path / "state"), no_fail=True).awaitTermination()
+    assert {r.subject_id for r in w.lake().select("subject_id").distinct().collect()} == {"P1", "P2"}
+    files = {r.source_path.split("/")[-1].split("_")[0] + "/" + r.status: r.reason for r in w.ledger.read("source_file").collect()}
+    assert {"P1/loaded", "P2/loaded", "P7/skipped", "P8/skipped", "P9/skipped", "P6/skipped", "P1/skipped"} <= set(files)
+    assert "column order" in files["P7/skipped"] and "missing columns" in files["P8/skipped"] and "data rows" in files["P9/skipped"]
+    swapped.unlink()
+    recording(root, "P7", "HP", STAMP)
+    recording(root, "P3", "HP", STAMP)
+    watch(w, str(tmp_path / "state"), no_fail=True).awaitTermination()
+    assert {r.subject_id for r in w.lake().select("subject_id").distinct().collect()} == {"P1", "P2", "P3", "P7"}
+
+
+def test_staged_tables_go_and_a_failing_export_fails_the_run(spark, tmp_path):
+    from cyclemart.operators.staging_area import materialise, staging
+
+    with staging(spark) as folder:
+        materialise(spark.range(3), "x")
+        assert os.path.isdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    sources(tmp_path, ("P1", "P2"))
+    w = warehouse(spark, tmp_path)
+    w.export = lambda run_id: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        w.run_all("r", no_fail=True)
+    assert [r.status for r in w.ledger.read("pipeline_run").collect()] == ["failed"]
+
+
 def test_run_health_counts_second_boundaries(spark):
     from cyclemart.plans.marts import elapsed_seconds
     row = spark.createDataFrame([("2025-01-01 00:00:00.9", "2025-01-01 00:00:01.1")], "a string, b string").select(
