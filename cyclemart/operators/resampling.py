@@ -115,8 +115,9 @@ def sign_flip_sums(
     task and block, independent of the number of units.
     """
     blocks = F.explode(F.sequence(F.lit(0), F.lit((n_permutations - 1) // FLIPS_PER_HASH))).alias("block")
+    # Units are few bytes in few files, but each stands for n_permutations hashes: deal them out first.
     hashed = (
-        units.select("*", blocks)
+        units.repartition(units.sparkSession.sparkContext.defaultParallelism, *by, unit).select("*", blocks)
         .withColumn("_digest", _words(F.lit(str(seed)), F.lit("flip"), F.col("block"), F.col(unit)))
         .withColumns({"_w0": _word(F.col("_digest"), 0), "_w1": _word(F.col("_digest"), 1)})
     )
@@ -194,7 +195,8 @@ def bootstrap_means(
     drawn_from = indexed.select(*by, "unit_index").join(sizes, list(by)) if by else _with_count(indexed)
     blocks = F.explode(F.sequence(F.lit(0), F.lit((n_resamples - 1) // PICKS_PER_HASH))).alias("block")
     digest = _words(F.lit(str(seed)), F.lit("boot"), F.col("block"), F.col("unit_index"))
-    hashed = drawn_from.select(*by, "unit_index", "_n", blocks).withColumn("_digest", digest)
+    spread = drawn_from.repartition(units.sparkSession.sparkContext.defaultParallelism, *by, "unit_index")
+    hashed = spread.select(*by, "unit_index", "_n", blocks).withColumn("_digest", digest)
     picks = hashed.select(
         *by, "block", F.posexplode(F.array(*[_word(F.col("_digest"), w) % F.col("_n") for w in range(PICKS_PER_HASH)])).alias("word", "unit_index")
     )

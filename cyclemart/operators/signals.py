@@ -60,15 +60,14 @@ def channel_table(
 
 
 def trial_windows(
-    trials: DataFrame, recordings: DataFrame, signal: Signal, max_trials: int | None = None
+    trials: DataFrame, recordings: DataFrame, signal: Signal
 ) -> DataFrame:
     """Sample bounds ``[i_low, i_high)`` of each trial's epoch; empty epochs are left out."""
-    kept = trials if max_trials is None else trials.filter(F.col("trial") < max_trials)
     low, high = epoch_bounds(
         F.col("onset_s"), F.col("start_time"), signal.fs, signal.epoch_start_s, signal.epoch_end_s, F.col("n_samples")
     )
     return (
-        kept.join(recordings.select("session_id", "start_time", "n_samples"), "session_id")
+        trials.join(recordings.select("session_id", "start_time", "n_samples"), "session_id")
         .select("session_id", "trial", low.alias("i_low"), high.alias("i_high"))
         .filter(F.col("i_low") < F.col("i_high"))
     )
@@ -81,15 +80,19 @@ def epochs(samples: DataFrame, windows: DataFrame, channels: DataFrame, signal:
     is bounded by the settings. ``finite`` tells whether all of them are numbers.
     """
     span = max(1, int((signal.epoch_end_s - signal.epoch_start_s) * signal.fs) + 1)
-    wanted = samples.join(channels.select("session_id", "column_idx", "region", "channel_label"), ["session_id", "column_idx"])
+    labels = channels.select("session_id", "column_idx", "region", "channel_label")
+    wanted = samples.join(labels.select("session_id", "column_idx"), ["session_id", "column_idx"], "left_semi")
     inside = points_in_windows(wanted, windows, ["session_id"], "t_index", "i_low", "i_high", span)
     value = F.col("value")
     finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
     ordered = F.sort_array(F.collect_list(F.struct("t_index", "value")))
-    return inside.groupBy("session_id", "trial", "column_idx", "region", "channel_label").agg(
+    collected = inside.groupBy("session_id", "trial", "column_idx").agg(
         ordered["value"].alias("signal"), F.min("t_index").alias("first_sample"),
         F.count("*").alias("n_samples"), F.bool_and(finite).alias("finite"),
     )
+    return collected.join(labels, ["session_id", "column_idx"]).select(
+        "session_id", "trial", "column_idx", "region", "channel_label", "signal", "first_sample", "n_samples", "finite"
+    )
 
 
 FEATURE_ROWS = T.StructType([
@@ -141,10 +144,9 @@ def _nullable(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.astype({f.name: kinds.get(f.dataType, "object") for f in FEATURE_ROWS.fields})
 
 
-def trial_metadata(trials: DataFrame, recordings: DataFrame, max_trials: int | None = None) -> DataFrame:
+def trial_metadata(trials: DataFrame, recordings: DataFrame) -> DataFrame:
     """Condition and correctness per trial, keyed by subject and session."""
-    kept = trials if max_trials is None else trials.filter(F.col("trial") < max_trials)
-    return kept.join(identify_recordings(recordings).select("session_id", "subject_id"), "session_id").select(
+    return trials.join(identify_recordings(recordings).select("session_id", "subject_id"), "session_id").select(
         "session_id", "subject_id", F.col("trial").cast("int"),
         F.col("load").cast("int").alias("load_condition"), (F.col("accuracy").cast("int") == 1).alias("correct"),
     )

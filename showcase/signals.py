@@ -14,8 +14,8 @@ from showcase.sql import with_ctes
 REGIONS = ("Hipp", "Amg", "UnknownRegion")
 
 
-def _windows(spark, sf, max_trials=None):
-    return signals.trial_windows(t.recording_trials(spark, sf), t.recordings(spark, sf), t.RECORDING, max_trials)
+def _windows(spark, sf):
+    return signals.trial_windows(t.recording_trials(spark, sf), t.recordings(spark, sf), t.RECORDING)
 
 
 def _epochs(spark, sf):
@@ -89,12 +89,6 @@ def trial_windows(spark, sf):
     return _windows(spark, sf)
 
 
-@query("trial_windows_capped", with_ctes("SELECT session_id, trial, i_low, i_high FROM windows WHERE trial < 10", "windows"))
-def trial_windows_capped(spark, sf):
-    """The operator that keeps a recording's first trials only."""
-    return _windows(spark, sf, 10)
-
-
 @query("epoch_extraction", with_ctes("""
 SELECT session_id, trial, column_idx, region, channel_label, n_samples, first_sample, finite,
   CASE WHEN finite THEN round(moment, 9) END AS moment FROM epochs""", "epochs"))
