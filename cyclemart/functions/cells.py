@@ -48,6 +48,37 @@ def lenient_boolean(cell: Column) -> Column:
     return F.coalesce(F.lower(F.trim(cell)).isin("true", "t", "1"), F.lit(False))
 
 
+def _six_digits(number: Column) -> Column:
+    """A double below 2^63 with six decimals, rounded from its exact binary value, ties to even.
+
+    The fraction is taken apart into 20, 40 and 40 bits, which scaling by powers of two does without
+    error; millionths are then an exact integer division, and what lies below only breaks ties.
+    """
+    size = F.abs(number)
+    whole = F.floor(size)
+    high = F.floor((size - whole) * 2.0**20)
+    rest = ((size - whole) * 2.0**20 - high) * 2.0**40
+    low = F.floor(rest)
+    last = (rest - low) * 2.0**40
+    lowest = F.floor(last) * 1_000_000
+    below = (last > F.floor(last)) | (lowest.bitwiseAND(F.lit(2**40 - 1)) != 0)
+    scaled = (high * F.lit(2**40) + low).cast("decimal(20,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.shiftright(lowest, 40)
+    unit = F.lit(2**60).cast("decimal(20,0)")
+    millionths = F.floor(scaled / unit).cast("long")
+    # The quotient is rounded; the remainder, which is exact, tells whether it went up.
+    left = scaled - millionths.cast("decimal(20,0)") * unit
+    millionths = F.when(left < 0, millionths - 1).otherwise(millionths)
+    left = F.when(left < 0, left + unit).otherwise(left)
+    half = F.lit(2**59).cast("decimal(20,0)")
+    up = (left > half) | ((left == half) & (below | (millionths % 2 == 1)))
+    millionths = millionths + up.cast("long")
+    digits = F.concat(
+        (whole + F.floor(millionths / 1_000_000)).cast("string"), F.lit("."), F.lpad((millionths % 1_000_000).cast("string"), 6, "0")
+    )
+    negative = (number < 0) | ((number == 0) & F.startswith(number.cast("string"), F.lit("-")))
+    return F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), digits)
+
+
 def render_cell(name: str, value: Column) -> Column:
     """One feature value as the contract files spell it: empty for NULL and NaN,
     True/False for the burst flag, integers for sample landmarks, six decimals otherwise."""
@@ -57,7 +88,6 @@ def render_cell(name: str, value: Column) -> Column:
     missing = number.isNull() | F.isnan(number)
     if name.startswith("sample_"):
         text = value.cast("long").cast("string")
-    else:  # a decimal prints the same digits several times faster, where it can hold the number
-        common = F.abs(number).between(1e-6, 1e20) | (number == 0)
-        text = F.when(common, number.cast("decimal(38,6)").cast("string")).otherwise(F.format_string("%.6f", number))
+    else:
+        text = F.when(F.abs(number) < 2.0**63, _six_digits(number)).otherwise(F.format_string("%.6f", number))
     return F.when(missing, F.lit("")).otherwise(text)

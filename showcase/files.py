@@ -130,13 +130,15 @@ def typed_csv_scan(spark, sf):
 
 @query("rendered_cells", with_ctes("""
 SELECT trial, sample_last_trough AS landmark, sample_peak AS peak, coalesce(printf('%.6f', amp_consistency), '') AS amp_consistency,
-  printf('%.6f', time_rdsym) AS time_rdsym, CAST(sample_peak AS VARCHAR) AS sample_peak,
+  printf('%.6f', time_rdsym) AS time_rdsym, coalesce(printf('%.6f', amp_consistency / 7e0), '') AS seventh, printf('%.6f', volt_amp * 1e-7) AS ten_millionth, CAST(sample_peak AS VARCHAR) AS sample_peak,
   CASE WHEN is_burst THEN 'True' ELSE 'False' END AS is_burst FROM feat""", "feat"))
 def rendered_cells(spark, sf):
     shown = ("amp_consistency", "time_rdsym", "sample_peak", "is_burst")
     return t.features(spark, sf).select(
         "trial", F.col("sample_last_trough").alias("landmark"), F.col("sample_peak").alias("peak"),
         *[cells.render_cell(c, F.col(c)).alias(c) for c in shown],
+        cells.render_cell("period", F.col("amp_consistency") / 7).alias("seventh"),
+        cells.render_cell("period", F.col("volt_amp") * 1e-7).alias("ten_millionth"),
     )
 
 
@@ -207,7 +209,11 @@ def trial_metadata_reload(spark, sf):
     def build() -> str:
         root = new_location(spark, "trial-csv")
         rows = t.trials(spark, sf).select("subject_id", "trial", "load_condition", F.initcap(F.col("correct").cast("string")).alias("correct"))
-        rows.write.option("header", "true").csv(root)
+        # Three layouts: as listed, in another order, and with a column nobody asked for.
+        layouts = (rows, rows.select("correct", "load_condition", "trial", "subject_id"), rows.withColumn("note", F.lit("x, y")).select("note", *rows.columns))
+        for k, layout in enumerate(layouts):
+            part = layout.filter(F.pmod(F.xxhash64("subject_id", "trial"), F.lit(3)) == k)
+            part.write.option("header", "true").mode("append").csv(root)
         return root
 
     root, table = t.once(spark, sf, "trial-csv", build), new_location(spark, "trial-table")

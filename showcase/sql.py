@@ -219,12 +219,12 @@ FROM (
 cte("classified", "source_paths")(r"""
 SELECT path AS source_path, subject, reg, stamp,
   CASE
-    WHEN regexp_matches(name, '_merged_bycycle_features_') THEN 'merged session file (superset of region files)'
-    WHEN substr(stamp, 5, 2) > '12' THEN 'invalid timestamp: ' || stamp
-    WHEN len(parts) <> 3 THEN 'expected <root>/<subject>/<region>/<file>.csv, got ' || substr(path, 6)
-    WHEN parts[1] <> subject THEN 'subject mismatch: directory says ' || parts[1] || ', filename says ' || subject
-    WHEN parts[2] <> reg THEN 'region mismatch: directory says ' || parts[2] || ', filename says ' || reg
-    WHEN CAST(substr(subject, 2) AS INTEGER) >= 20 THEN 'subject ' || subject || ' not in requested set' END AS reason
+    WHEN regexp_matches(name, '_merged_bycycle_features_') THEN 'merged session file, its rows are in the region files'
+    WHEN substr(stamp, 5, 2) > '12' THEN 'no such moment: ' || stamp
+    WHEN len(parts) <> 3 THEN 'not in a region folder of a subject: ' || substr(path, 6)
+    WHEN parts[1] <> subject THEN 'subject ' || subject || ' in the folder of ' || parts[1]
+    WHEN parts[2] <> reg THEN 'region ' || reg || ' in the folder of ' || parts[2]
+    WHEN CAST(substr(subject, 2) AS INTEGER) >= 20 THEN 'subject ' || subject || ' was not asked for' END AS reason
 FROM (
   SELECT path, string_split(substr(path, 6), '/') AS parts, regexp_extract(path, '[^/]+$') AS name,
     regexp_extract(path, '([^/]+)_([A-Za-z0-9]+)_bycycle_features_(\d{8}_\d{6})\.csv$', 1) AS subject,

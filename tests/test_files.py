@@ -40,21 +40,21 @@ def test_name_format_inverts_parse(spark):
 @pytest.mark.parametrize("relative, reason", [
     (f"P60cs/HP/P60cs_HP_bycycle_features_{STAMP}.csv", None),
     (f"P60cs/P60cs_merged_bycycle_features_{STAMP}.csv", "merged session file"),
-    ("P/R/SubjectID1_BrainRegion2_bycycle_features_YYYYMMDD_#####_sample.csv", "not a region cycle-feature filename"),
+    ("P/R/SubjectID1_BrainRegion2_bycycle_features_YYYYMMDD_#####_sample.csv", "unknown file name"),
     ("sub01/HPC/sub01_HPC_bycycle_merged.csv", "merged"),
-    (f"P60cs/A/P60cs_HP_bycycle_features_{STAMP}.csv", "region mismatch"),
-    (f"X/HP/P60cs_HP_bycycle_features_{STAMP}.csv", "subject mismatch"),
-    (f"P60cs_HP_bycycle_features_{STAMP}.csv", "expected <root>"),
-    ("P60cs/HP/P60cs_HP_bycycle_features_20251399_999999.csv", "invalid timestamp"),
+    (f"P60cs/A/P60cs_HP_bycycle_features_{STAMP}.csv", "region HP in the folder of A"),
+    (f"X/HP/P60cs_HP_bycycle_features_{STAMP}.csv", "subject P60cs in the folder of X"),
+    (f"P60cs_HP_bycycle_features_{STAMP}.csv", "not in a region folder"),
+    ("P60cs/HP/P60cs_HP_bycycle_features_20251399_999999.csv", "no such moment"),
     ("P/HP/P_HP_bycycle_features_20240229_000000.csv", None),
-    ("P/HP/P_HP_bycycle_features_20230229_000000.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_20230229_000000.csv", "no such moment"),
     ("P/HP/P_HP_bycycle_features_20000229_235959.csv", None),
-    ("P/HP/P_HP_bycycle_features_21000229_000000.csv", "invalid timestamp"),
-    ("P/HP/P_HP_bycycle_features_20250431_000000.csv", "invalid timestamp"),
-    ("P/HP/P_HP_bycycle_features_20250601_240000.csv", "invalid timestamp"),
+    ("P/HP/P_HP_bycycle_features_21000229_000000.csv", "no such moment"),
+    ("P/HP/P_HP_bycycle_features_20250431_000000.csv", "no such moment"),
+    ("P/HP/P_HP_bycycle_features_20250601_240000.csv", "no such moment"),
     (f"P/merged/P_merged_bycycle_features_{STAMP}.csv", "merged session file"),
     (f"P_1/HP/P_1_HP_bycycle_features_{STAMP}.csv", None),
-    (f"P/HP/more/P_HP_bycycle_features_{STAMP}.csv", "expected <root>"),
+    (f"P/HP/more/P_HP_bycycle_features_{STAMP}.csv", "not in a region folder"),
 ])
 def test_skip_reasons(spark, relative, reason):
     row = spark.createDataFrame([(relative,)], "p string")
@@ -71,7 +71,7 @@ def test_discovery_lists_skips_and_filters(spark, tmp_path):
     (tmp_path / "P1" / f"P1_merged_bycycle_features_{STAMP}.csv").write_text("x")
     found = {r.source_path.split("/")[-1]: r for r in files.discover(spark, str(tmp_path), ["P1"]).collect()}
     assert found[f"P1_HP_bycycle_features_{STAMP}.csv"].status == "discovered"
-    assert "not in requested set" in found[f"P2_HP_bycycle_features_{STAMP}.csv"].reason
+    assert "was not asked for" in found[f"P2_HP_bycycle_features_{STAMP}.csv"].reason
     assert "merged" in found[f"P1_merged_bycycle_features_{STAMP}.csv"].reason
     summary = files.discovery_summary(files.discover(spark, str(tmp_path))).first()
     assert (summary.discovered, summary.skipped, summary.subjects, summary.partitions) == (2, 1, 2, 2)

@@ -137,7 +137,7 @@ def test_subject_filter_and_missing_trials(spark, tmp_path):
     w.ingest("r", ["P1"])
     assert {r[0] for r in w.lake().select("subject_id").distinct().collect()} == {"P1"}
     statuses = {r.status: r.reason for r in w.ledger.read("source_file").collect()}
-    assert statuses["loaded"] is None and "not in requested set" in statuses["skipped"]
+    assert statuses["loaded"] is None and "was not asked for" in statuses["skipped"]
     with pytest.raises(FileNotFoundError):
         Warehouse(spark, Settings(paths=Paths(source_root="x", trial_metadata=str(tmp_path / "none"), tables=str(tmp_path / "t")))).load_trials("r")
 
