@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,14 +50,27 @@ def _word(digest: Column, number: int) -> Column:
     return F.conv(F.substring(digest, 1 + 8 * number, 8), 16, 10).cast("bigint")
 
 
-def check_units(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence[str] = ()) -> None:
-    """Raise unless every family has two units or more and only finite values."""
+LEAST_UNITS = 2
+
+
+def unit_guards(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence[str] = ()) -> DataFrame:
+    """Per family: n_units, too_few, incomplete (units with a value missing or not finite), and the
+    number of such values in each column that the tests use."""
     columns = sorted({c for t in tests for c in (t.value, t.interval, t.baseline, t.comparison) if c})
     bad = [F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == float("inf")) for c in columns]
-    counts = [F.count("*").alias("n"), *[F.count_if(b).alias(c) for b, c in zip(bad, columns)]]
-    worst = units.groupBy(*by).agg(*counts).agg(F.min("n").alias("n"), *[F.max(c).alias(c) for c in columns]).first()
-    if worst["n"] is None or worst["n"] < 2:
-        raise UnitsError(f"only {worst['n'] or 0} unit(s); a test needs at least 2")
+    return units.groupBy(*by).agg(
+        F.count("*").alias("n_units"), (F.count("*") < LEAST_UNITS).alias("too_few"),
+        F.count_if(reduce(lambda x, y: x | y, bad)).alias("incomplete"), *[F.count_if(b).alias(c) for b, c in zip(bad, columns)],
+    )
+
+
+def check_units(units: DataFrame, tests: Sequence[SignFlipTest], by: Sequence[str] = ()) -> None:
+    """Raise unless every family has two units or more and only finite values."""
+    guards = unit_guards(units, tests, by)
+    columns = [c for c in guards.columns if c not in (*by, "n_units", "too_few", "incomplete")]
+    worst = guards.agg(F.min("n_units").alias("n"), *[F.max(c).alias(c) for c in columns]).first()
+    if worst["n"] is None or worst["n"] < LEAST_UNITS:
+        raise UnitsError(f"only {worst['n'] or 0} unit(s); a test needs at least {LEAST_UNITS}")
     for column in columns:
         if worst[column]:
             raise UnitsError(f"{column} contains {worst[column]} missing or non-finite value(s)")

@@ -64,11 +64,15 @@ def quality_checks(spark, sf):
 SELECT count(*) FILTER (WHERE NOT passed AND severity = 'error') AS blocking,
   count(*) FILTER (WHERE NOT passed) AS blocking_with_warnings, count(*) AS checks_run FROM ({JUDGED}) AS j""", "fact", "paired", "trial_metadata"))
 def quality_gate(spark, sf):
-    failed = ~F.col("passed")
-    return _outcomes(spark, sf).agg(
-        F.count_if(failed & (F.col("severity") == "error")).alias("blocking"),
-        F.count_if(failed).alias("blocking_with_warnings"), F.count("*").alias("checks_run"),
-    )
+    """How many checks keep the run back, with and without warnings counting."""
+    outcomes = t.once(spark, sf, "outcomes", lambda: _outcomes(spark, sf))
+    sides = [
+        df.agg(F.count("*").alias(name)) for name, df in (
+            ("blocking", quality.blocking(outcomes)), ("blocking_with_warnings", quality.blocking(outcomes, True)), ("checks_run", outcomes),
+        )
+    ]
+    numbered = [side.withColumn("_one", F.lit(1)) for side in sides]  # each is one row
+    return numbered[0].join(numbered[1], "_one").join(numbered[2], "_one").drop("_one")
 
 
 @query("repeated_cycles", with_ctes("""

@@ -120,10 +120,8 @@ SELECT subject_id, count(*) AS n_units, count(*) < 2 AS too_few,
 FROM paired GROUP BY subject_id""", "paired"))
 def unit_guards(spark, sf):
     """What the input guard looks at, per subject."""
-    incomplete = F.col("ptsym_diff").isNull() | F.col("rdsym_diff").isNull()
-    return t.paired(spark, sf).groupBy("subject_id").agg(
-        F.count("*").alias("n_units"), (F.count("*") < 2).alias("too_few"), F.count_if(incomplete).alias("incomplete")
-    )
+    guarded = [rs.SignFlipTest(c, "difference", c, c, c) for c in ("ptsym_diff", "rdsym_diff")]
+    return rs.unit_guards(t.paired(spark, sf), guarded, ["subject_id"]).select("subject_id", "n_units", "too_few", "incomplete")
 
 
 REPLICATE_UNITS = """
