@@ -48,7 +48,7 @@ def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes & mask, (hashes >> np.uint64(32)) & mask
 
 
-def _item_grams(n: int):
+def item_grams(n: int):
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch in batches:
@@ -65,7 +65,7 @@ def _item_grams(n: int):
     return grams
 
 
-def _hit_map(grams: DataFrame) -> np.ndarray:
+def hit_map(grams: DataFrame) -> np.ndarray:
     """At most ``MAP_LONGS`` rows reach the driver, whatever the number of n-grams."""
     mask = 64 * MAP_LONGS - 1
     bits = grams.select(F.explode(F.array(
@@ -80,7 +80,9 @@ def _hit_map(grams: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _passages(n: int, margin: int, shared_map):
+def seed_passages(n: int, margin: int, shared_map):
+    """A map over batches of (id, text): passages around n-grams of the shared bit map, with these n-grams and their places."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         hit = shared_map.value
@@ -164,7 +166,7 @@ def _aligned(p: Decontamination):
     return score
 
 
-def _aligned_share(p: Decontamination):
+def aligned_share(p: Decontamination):
     """(id, label, item, passage) to (id, label, share of the item's own score)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,14 +196,14 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = D
         .withColumn("item", F.monotonically_increasing_id()), "items",
     )
     grams = written(
-        items.select("item", "item_text").mapInArrow(_item_grams(p.seed_words), "item long, place long, n_words long, gram long"),
+        items.select("item", "item_text").mapInArrow(item_grams(p.seed_words), "item long, place long, n_words long, gram long"),
         "item-grams",
     )
     longest = grams.agg(F.max("n_words")).first()[0] or 0
-    shared_map = spark.sparkContext.broadcast(_hit_map(grams))
+    shared_map = spark.sparkContext.broadcast(hit_map(grams))
     passages = written(
         docs.select("doc_id", "text").mapInArrow(
-            _passages(p.seed_words, longest, shared_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
+            seed_passages(p.seed_words, longest, shared_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
         ).withColumn("passage_id", F.monotonically_increasing_id()), "passages",
     )
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemart.llm import wordhash
-from cyclemart.llm.decontamination import Decontamination, _aligned_share, _cut_block, _hit_map, _bits, _item_grams
+from cyclemart.llm.decontamination import Decontamination, aligned_share, hit_map, item_grams, seed_passages
 from cyclemart.llm.tables import written
 
 #: Well-known wordings, by label.
@@ -96,32 +96,17 @@ def phrase_places(docs: DataFrame, phrases=PHRASES) -> DataFrame:
     )
 
 
-def _passages(n: int, margin: int, shared_map):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        np.seterr(over="ignore")
-        hit = shared_map.value
-        for batch in batches:
-            for words in wordhash.blocks(batch.column(1), wordhash.ALPHANUMERIC):
-                hashes, at = wordhash.gram_hashes(words, n)
-                one, two = _bits(hashes)
-                found = np.flatnonzero(hit[one] & hit[two])
-                if len(found):
-                    yield _cut_block(batch, words, hashes[found], at[found], n, margin)
-
-    return cut
-
-
 def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = LicenseScan()) -> DataFrame:
     """(id, label, score) of the templates found; ``docs``: id and text. One row for each id and label."""
     spark = docs.sparkSession
     table = spark.createDataFrame([(i, *t) for i, t in enumerate(templates)], "item long, label string, item_text string")
-    grams = table.select("item", "item_text").mapInArrow(_item_grams(p.gram), "item long, place long, n_words long, gram long")
+    grams = table.select("item", "item_text").mapInArrow(item_grams(p.gram), "item long, place long, n_words long, gram long")
     longest = grams.agg(F.max("n_words")).first()[0] or 0
-    shared_map = spark.sparkContext.broadcast(_hit_map(grams))
+    shared_map = spark.sparkContext.broadcast(hit_map(grams))
     id_type = docs.schema[0].dataType.simpleString()
     passages = written(
         docs.toDF("doc_id", "text").mapInArrow(
-            _passages(p.gram, longest, shared_map),
+            seed_passages(p.gram, longest, shared_map),
             f"doc_id {id_type}, start long, passage string, grams array<long>, places array<long>",
         ).withColumn("passage_id", F.monotonically_increasing_id()), "license-passages",
     )
@@ -146,7 +131,7 @@ def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = Licen
             F.slice(words, (F.col("low") - F.col("start") + 1).cast("int"), (F.col("high") - F.col("low") + p.gram).cast("int")), " "
         ).alias("span"))
     )
-    scored = pairs.mapInArrow(_aligned_share(Decontamination(gap=-1)), f"doc_id {id_type}, label string, share double")
+    scored = pairs.mapInArrow(aligned_share(Decontamination(gap=-1)), f"doc_id {id_type}, label string, share double")
     return scored.filter(F.col("share") >= p.share).groupBy("doc_id", "label").agg(F.max("share").alias("score"))
 
 
