@@ -80,9 +80,12 @@ def test_histogram_reads_the_fact_once_and_expands_nothing(spark, capsys):
 
 
 def test_sign_flips_combine_before_the_shuffle(spark, capsys):
-    units = materialise(spark.range(100).select(F.col("id").cast("string").alias("unit"), F.rand(1).alias("d")), "u")
+    units = materialise(spark.range(0, 100, 1, 1).select(F.col("id").cast("string").alias("unit"), F.rand(1).alias("d")), "u")
     shape = tree(sign_flip_sums(units, [SignFlipTest("m", "t", "d", "d", "d")], "unit", 1000, 1), capsys)
-    assert len(re.findall(r"\bExchange\b", shape)) == 1 and len(re.findall(r"Aggregate", shape)) == 2 and "Join" not in shape
+    # One exchange deals out the few units before each becomes many draws, the other moves partial sums.
+    assert len(re.findall(r"\bExchange\b", shape)) == 2 and len(re.findall(r"Aggregate", shape)) == 2 and "Join" not in shape
+    above, _, below = shape.split("\n\n")[0].rpartition("Generate")
+    assert "Aggregate" in above and "Exchange" in below and units.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
 
 
 def test_lake_keeps_partition_values_as_text(spark, tmp_path):
