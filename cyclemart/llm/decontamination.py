@@ -1,13 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 1. The word n-grams of all test items set bits in a map of fixed size (1 MB). One
-   pass over the corpus keeps the passages around n-grams whose bits are set: these
-   are all true hits and very few others, however large the benchmark is.
-2. Corpus frequencies of the hit n-grams rank the n-grams of each item. In every run of
-   ``spread`` neighbouring n-grams of an item the rarest is a seed. Rarity is relative
-   to the neighbours, so a test item copied into very many documents keeps its seeds.
-3. Seeds join passages to items on the n-gram's hash (an ordinary Spark join).
-4. Each candidate is aligned locally, word by word, which also scores edited copies.
+   pass over the corpus counts the documents of the n-grams whose bits are set.
+2. Any alignment that can match shares at least ``least_grams`` n-grams with the item. So
+   all n-grams of an item but its ``least_grams - 1`` most frequent ones are seeds: whichever
+   words an edited copy lost, it holds a seed.
+3. A second pass keeps the passages around seeds; seeds join them to items on the n-gram's
+   hash (an ordinary Spark join).
+4. Candidates that share ``least_grams`` n-grams are aligned locally, word by word, which also
+   scores edited copies.
 
 Words are runs of letters and digits (and of all non-ASCII characters), A-Z lower-cased.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,12 @@ MAP_LONGS = 1 << 17
 class Decontamination:
     """``seed_words``: length of seeds; items with fewer words are too short to identify and are left out.
     A pair matches if its score reaches ``share`` of the item's own score, or that of ``long_run``
-    words copied in full (a long item of which a part is copied)."""
+    words copied in full (a long item of which a part is copied).
 
-    seed_words: int = 3
-    spread: int = 3
+    With seeds of two words no such pair is missed, unless an item has 197 words or more and a document
+    holds about every other word of it but no two in a row."""
+
+    seed_words: int = 2
     match: int = 2
     mismatch: int = -1
     gap: int = -2
@@ -43,6 +47,28 @@ class Decontamination:
     long_run: int = 50
 
 
+@lru_cache(maxsize=4096)
+def least_grams(n_words: int, p: Decontamination) -> int:
+    """The least number of an item's n-grams, by place, that lie in an alignment which matches (1 at least).
+
+    Words that align in r runs hold all n-grams but ``n - 1`` a run, and each break between runs costs a mismatch,
+    which takes a word of the item too, or a gap."""
+    wanted = p.match * min(p.share * n_words, p.long_run)
+    least = n_words
+    for m in range(1, n_words + 1):
+        spare = p.match * m - wanted
+        if spare >= 0:
+            swaps = min(n_words - m, m - 1, int(spare // -p.mismatch)) if p.mismatch > p.gap else 0
+            gaps = min(m - 1 - swaps, int((spare + swaps * p.mismatch) // -p.gap))
+            least = min(least, m - (min(p.seed_words, n_words) - 1) * (1 + swaps + gaps))
+    return max(1, least)
+
+
+def _widest(n_words: int, p: Decontamination) -> int:
+    """The most words of a document that an alignment which matches can take."""
+    return n_words + int(p.match * (n_words - min(p.share * n_words, p.long_run)) // -p.gap)
+
+
 def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mask = np.uint64(64 * MAP_LONGS - 1)
     return hashes & mask, (hashes >> np.uint64(32)) & mask
@@ -97,6 +123,28 @@ def seed_passages(n: int, margin: int, shared_map):
     return cut
 
 
+def gram_counts(n: int, shared_map):
+    """A map over batches of texts: n-grams of the shared bit map, with the number of texts (so far) that hold them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        hit = shared_map.value
+        for batch in batches:
+            for words in wordhash.blocks(batch.column(0), wordhash.ALPHANUMERIC):
+                hashes, at = wordhash.gram_hashes(words, n)
+                one, two = _bits(hashes)
+                found = np.flatnonzero(hit[one] & hit[two])
+                hashes, texts = hashes[found], words.texts[at[found]]
+                order = np.lexsort((hashes, texts))
+                hashes, texts = hashes[order], texts[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
+                grams, counts = np.unique(hashes[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], ["gram", "n"])
+
+    return count
+
+
 def _cut_block(batch, words: wordhash.Words, hashes, at, n: int, margin: int) -> pa.RecordBatch:
     text_of = words.texts[at]
     breaks = np.flatnonzero((np.diff(at) > 2 * margin) | (np.diff(text_of) > 0)) + 1
@@ -142,6 +190,13 @@ def _hash_words(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(len(words) - n + 1, np.uint64)
+    for i in range(n):
+        out = wordhash.mix(out + words[i:len(words) - n + 1 + i])
+    return out
+
+
 def _aligned(p: Decontamination):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -150,6 +205,9 @@ def _aligned(p: Decontamination):
             starts = batch.column(2).to_pylist()
             rows = []
             for k, (item, passage) in enumerate(zip(items, passages, strict=True)):
+                n = min(p.seed_words, len(item))
+                if np.isin(_grams(item, n), _grams(passage, n)).sum() < least_grams(len(item), p):
+                    continue
                 best, end = align(item, passage, p)
                 if best < p.match * min(p.share * len(item), p.long_run):
                     continue
@@ -200,23 +258,26 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = D
         "item-grams",
     )
     longest = grams.agg(F.max("n_words")).first()[0] or 0
-    shared_map = spark.sparkContext.broadcast(hit_map(grams))
+    item_map = spark.sparkContext.broadcast(hit_map(grams))
+    counts = docs.select("text").mapInArrow(gram_counts(p.seed_words, item_map), "gram long, n long").groupBy("gram").agg(
+        F.sum("n").alias("n_docs")
+    )
+    commonest = Window.partitionBy("item").orderBy(F.desc("n_docs"), "gram", "place")
+    least = F.udf(lambda n_words: least_grams(n_words, p), "int")
+    lengths = grams.select("n_words").distinct().withColumn("least", least("n_words"))
+    ranked = grams.join(counts, "gram").join(lengths, "n_words")  # an n-gram that no document has cannot be met
+    seeds = written(
+        ranked.withColumn("_rank", F.row_number().over(commonest)).filter(F.col("_rank") >= F.col("least"))
+        .select("item", "gram").distinct(), "seeds",
+    )
+    seed_map = spark.sparkContext.broadcast(hit_map(seeds))
     passages = written(
         docs.select("doc_id", "text").mapInArrow(
-            seed_passages(p.seed_words, longest, shared_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
+            seed_passages(p.seed_words, _widest(longest, p), seed_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
         ).withColumn("passage_id", F.monotonically_increasing_id()), "passages",
     )
 
     hits = passages.select("passage_id", F.explode(F.array_distinct("grams")).alias("gram"))
-    counts = hits.groupBy("gram").agg(F.count("*").alias("n_passages"))
-    ranked = grams.join(counts, "gram")  # an n-gram that no passage has cannot be met
-    around = Window.partitionBy("item").orderBy("place")
-    rarest = None
-    for k in range(p.spread):  # runs of neighbours that hold this n-gram
-        run = around.rangeBetween(k - p.spread + 1, k)
-        rare = F.col("n_passages") == F.min("n_passages").over(run)
-        rarest = rare if rarest is None else rarest | rare
-    seeds = ranked.withColumn("_rare", rarest).filter("_rare").select("item", "gram").distinct()
     candidates = hits.join(seeds, "gram").select("passage_id", "item").distinct()
     pairs = (
         candidates.join(passages.select("passage_id", "doc_id", "start", "passage"), "passage_id").join(items, "item")

@@ -102,6 +102,24 @@ def test_decontamination_of_edited_copies(spark):
     assert {r.doc_id for r in decontaminated(docs, tests).collect()} == {3, 5, 6, 7}
 
 
+def test_decontamination_finds_every_edited_copy_beside_exact_ones(spark):
+    p = Decontamination()
+    item = prose(77, 40).split()
+    texts = [item] * 12
+    for every in (3, 4, 5, 6):  # words replaced, left out and put in, at every offset
+        for offset in range(every):
+            texts.append([w if i % every != offset else f"new{i}" for i, w in enumerate(item)])
+            texts.append([w for i, w in enumerate(item) if i % every != offset])
+            texts.append([x for i, w in enumerate(item) for x in ([w] if i % every != offset else [w, f"new{i}"])])
+    numbers = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    as_numbers = [np.array([numbers[w] for w in t], np.uint64) for t in (item, *texts)]
+    close = {i for i, t in enumerate(as_numbers[1:]) if align(as_numbers[0], t, p)[0] >= p.match * p.share * len(item)}
+    before, after = prose(3, 90), prose(4, 90)
+    docs = spark.createDataFrame([(i, f"{before} {' '.join(t)} {after}") for i, t in enumerate(texts)], "doc_id long, text string")
+    found = contaminated_pairs(docs, spark.createDataFrame([(9, " ".join(item))], "item_id long, text string"))
+    assert {r.doc_id for r in found.collect()} == close and len(close) > 50
+
+
 def test_decontamination_of_odd_rows(spark):
     docs = odd_documents(spark)
     assert {r.doc_id for r in contaminated_pairs(docs, items(spark)).collect()} == {12}
