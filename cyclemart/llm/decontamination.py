@@ -15,8 +15,8 @@ Words are runs of letters and digits (and of all non-ASCII characters), A-Z lowe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -32,9 +32,10 @@ MAP_LONGS = 1 << 17
 
 @dataclass(frozen=True)
 class Decontamination:
-    """``seed_words``: length of seeds; items with fewer words are too short to identify and are left out.
+    """``seed_words``: length of seeds; items with fewer words match where they stand whole, word after word.
     A pair matches if its score reaches ``share`` of the item's own score, or that of ``long_run``
-    words copied in full (a long item of which a part is copied).
+    words copied in full (a long item of which a part is copied), and at least ``least_words`` words
+    of the item align, or all words of a shorter item.
 
     With seeds of two words no such pair is missed, unless an item has 197 words or more and a document
     holds about every other word of it but no two in a row."""
@@ -45,6 +46,7 @@ class Decontamination:
     gap: int = -2
     share: float = 0.5
     long_run: int = 50
+    least_words: int = 8
 
 
 @lru_cache(maxsize=4096)
@@ -74,13 +76,28 @@ def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes & mask, (hashes >> np.uint64(32)) & mask
 
 
+def _sized_grams(words: wordhash.Words, sizes: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first word, size) of the n-grams of all ``sizes``, in the order of their first words."""
+    each = [wordhash.gram_hashes(words, n) for n in sizes]
+    hashes, at = (np.concatenate(x) for x in zip(*each, strict=True))
+    size = np.repeat(list(sizes), [len(x) for x, _ in each])
+    if len(each) == 1:
+        return hashes, at, size
+    order = np.argsort(at, kind="stable")
+    return hashes[order], at[order], size[order]
+
+
 def item_grams(n: int):
+    """A map over batches of (item, text): n-grams of the texts; a text of fewer words is one shorter n-gram."""
+
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch in batches:
             for words in wordhash.blocks(batch.column(1), wordhash.ALPHANUMERIC):
-                hashes, at = wordhash.gram_hashes(words, n)
+                hashes, at, size = _sized_grams(words, range(1, n + 1))
                 texts = words.texts[at]
+                whole = size == np.minimum(words.counts[texts], n)
+                hashes, at, texts = hashes[whole], at[whole], texts[whole]
                 first = np.cumsum(words.counts) - words.counts
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(texts + words.first)), pa.array(at - first[texts]),
@@ -106,7 +123,7 @@ def hit_map(grams: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def seed_passages(n: int, margin: int, shared_map):
+def seed_passages(sizes: tuple[int, ...], margin: int, shared_map):
     """A map over batches of (id, text): passages around n-grams of the shared bit map, with these n-grams and their places."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,16 +131,16 @@ def seed_passages(n: int, margin: int, shared_map):
         hit = shared_map.value
         for batch in batches:
             for words in wordhash.blocks(batch.column(1), wordhash.ALPHANUMERIC):
-                hashes, at = wordhash.gram_hashes(words, n)
+                hashes, at, _ = _sized_grams(words, sizes)
                 one, two = _bits(hashes)
                 found = np.flatnonzero(hit[one] & hit[two])
                 if len(found):
-                    yield _cut_block(batch, words, hashes[found], at[found], n, margin)
+                    yield _cut_block(batch, words, hashes[found], at[found], max(sizes), margin)
 
     return cut
 
 
-def gram_counts(n: int, shared_map):
+def gram_counts(sizes: tuple[int, ...], shared_map):
     """A map over batches of texts: n-grams of the shared bit map, with the number of texts (so far) that hold them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +148,7 @@ def gram_counts(n: int, shared_map):
         hit = shared_map.value
         for batch in batches:
             for words in wordhash.blocks(batch.column(0), wordhash.ALPHANUMERIC):
-                hashes, at = wordhash.gram_hashes(words, n)
+                hashes, at, _ = _sized_grams(words, sizes)
                 one, two = _bits(hashes)
                 found = np.flatnonzero(hit[one] & hit[two])
                 hashes, texts = hashes[found], words.texts[at[found]]
@@ -183,6 +200,13 @@ def align(item: np.ndarray, passage: np.ndarray, p: Decontamination) -> tuple[in
     return best, end
 
 
+def aligned_words(item: np.ndarray, passage: np.ndarray, p: Decontamination) -> int:
+    """The most words that are equal in an alignment of the best score."""
+    unit = len(item) + 1
+    fine = replace(p, match=p.match * unit + 1, mismatch=p.mismatch * unit, gap=p.gap * unit)
+    return align(item, passage, fine)[0] % unit
+
+
 def _hash_words(texts: pa.Array) -> list[np.ndarray]:
     out = []
     for words in wordhash.blocks(texts, wordhash.ALPHANUMERIC):
@@ -211,6 +235,8 @@ def _aligned(p: Decontamination):
                 best, end = align(item, passage, p)
                 if best < p.match * min(p.share * len(item), p.long_run):
                     continue
+                if aligned_words(item, passage, p) < min(len(item), p.least_words):
+                    continue
                 _, back = align(item[::-1], passage[:end][::-1], p)
                 rows.append((k, best, best / (p.match * len(item)), starts[k] + end - back, starts[k] + end - 1))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
@@ -257,9 +283,11 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = D
         items.select("item", "item_text").mapInArrow(item_grams(p.seed_words), "item long, place long, n_words long, gram long"),
         "item-grams",
     )
-    longest = grams.agg(F.max("n_words")).first()[0] or 0
+    longest, shortest = grams.agg(F.max("n_words"), F.min("n_words")).first()
+    longest, shortest = longest or 0, shortest or p.seed_words
+    sizes = tuple(range(min(shortest, p.seed_words), p.seed_words + 1))
     item_map = spark.sparkContext.broadcast(hit_map(grams))
-    counts = docs.select("text").mapInArrow(gram_counts(p.seed_words, item_map), "gram long, n long").groupBy("gram").agg(
+    counts = docs.select("text").mapInArrow(gram_counts(sizes, item_map), "gram long, n long").groupBy("gram").agg(
         F.sum("n").alias("n_docs")
     )
     commonest = Window.partitionBy("item").orderBy(F.desc("n_docs"), "gram", "place")
@@ -273,7 +301,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = D
     seed_map = spark.sparkContext.broadcast(hit_map(seeds))
     passages = written(
         docs.select("doc_id", "text").mapInArrow(
-            seed_passages(p.seed_words, _widest(longest, p), seed_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
+            seed_passages(sizes, _widest(longest, p), seed_map), "doc_id long, start long, passage string, grams array<long>, places array<long>"
         ).withColumn("passage_id", F.monotonically_increasing_id()), "passages",
     )
 

@@ -106,7 +106,7 @@ def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = Licen
     id_type = docs.schema[0].dataType.simpleString()
     passages = written(
         docs.toDF("doc_id", "text").mapInArrow(
-            seed_passages(p.gram, longest, shared_map),
+            seed_passages((p.gram,), longest, shared_map),
             f"doc_id {id_type}, start long, passage string, grams array<long>, places array<long>",
         ).withColumn("passage_id", F.monotonically_increasing_id()), "license-passages",
     )

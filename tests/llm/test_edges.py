@@ -120,6 +120,17 @@ def test_decontamination_finds_every_edited_copy_beside_exact_ones(spark):
     assert {r.doc_id for r in found.collect()} == close and len(close) > 50
 
 
+def test_decontamination_of_short_items(spark):
+    question = "what is the capital of france and spain".split()
+    items = [(n, " ".join(question[:n])) for n in range(2, 9)] + [(1, "Lutetia"), (20, "which of these rivers flows through the old town of Bern")]
+    docs = [(100 + n, f"We asked {' '.join(question[:n])}, zero") for n in range(2, 9)]
+    docs += [(1, "Old Lutetia!"), (2, "see what is the matter; what was the capital city"), (3, "the capital of Peru is what we mean"),
+             (4, "through the old town of the north"), (5, "Which of those rivers flows through the old town of Bern"), (6, prose(5, 300)), (7, "what")]
+    found = contaminated_pairs(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    expected = {(100 + n, k) for n in range(2, 9) for k in range(2, n + 1)} | {(1, 1), (5, 20), (2, 2), (2, 3)}
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
 def test_decontamination_of_odd_rows(spark):
     docs = odd_documents(spark)
     assert {r.doc_id for r in contaminated_pairs(docs, items(spark)).collect()} == {12}
