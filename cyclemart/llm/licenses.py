@@ -35,6 +35,20 @@ TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    *(("cc", f"cc by{kind} {version}") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd") for version in ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    *(("cc", f"cc by {kind}") for kind in ("sa", "nc", "nd")),
+    ("cc", "licensed under cc by"),
+    ("cc", "under a cc by license"),
+    ("cc", "creative commons attribution"),
+    ("cc", "under a creative commons license"),
+    ("cc", "cc0 1 0"),
+    ("cc", "licensed under cc0"),
+    ("cc", "released under cc0"),
+    ("cc", "creative commons zero"),
+    *((label, f"spdx license identifier {name}") for label, name in (
+        ("apache", "apache 2 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("cc", "cc by"), ("cc", "cc0 1 0"), ("gpl", "gpl 2 0"),
+        ("gpl", "gpl 3 0"), ("mit", "mit"), ("mpl", "mpl 2 0"),
+    )),
 )
 #: Phrases that give a label wherever their words stand consecutively.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
