@@ -5,7 +5,8 @@ The words of every text are hashed in rolling k-grams; those that some template
 the text minus position in the template is the diagonal of a hit. Hits are counted by
 diagonal, diagonals closer than ``slack`` are merged (words put in or left out move the
 rest of a license to a neighbouring diagonal), and each merged span is verified by aligning its words
-with the template. The share of the template that aligns is the score.
+with the template. A span without the words that tell its license from others does not count. The share
+of the template that aligns is the score.
 
 Words are runs of ASCII letters and digits and of all other non-ASCII characters, A-Z lower-cased.
 """
@@ -24,28 +25,31 @@ from cyclemart.llm import wordhash
 from cyclemart.llm.decontamination import Decontamination, aligned_share, hit_map, item_grams, seed_passages
 from cyclemart.llm.tables import written
 
-#: Well-known wordings, by label.
+#: Well-known wordings, by label. A third entry are the words, in a row, without which a span is another license or none.
 TEMPLATES = (
-    ("apache", "licensed under the apache license version 2.0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc", "this work is licensed under a creative commons attribution 4.0 international license"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
-    *(("cc", f"cc by{kind} {version}") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd") for version in ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    *(("cc", f"cc by {kind}") for kind in ("sa", "nc", "nd")),
-    ("cc", "licensed under cc by"),
-    ("cc", "under a cc by license"),
-    ("cc", "creative commons attribution"),
-    ("cc", "under a creative commons license"),
-    ("cc", "cc0 1 0"),
-    ("cc", "licensed under cc0"),
-    ("cc", "released under cc0"),
-    ("cc", "creative commons zero"),
-    *((label, f"spdx license identifier {name}") for label, name in (
+    ("apache", "licensed under the apache license version 2.0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at "
+     "http www apache org licenses license 2 0", "apache org licenses"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use"),
+    ("cc", "this work is licensed under a creative commons attribution 4.0 international license", "creative commons attribution"),
+    ("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public license"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+     "associated documentation files"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
+    ("mpl", "licensed under the mozilla public license version 2 0", "mozilla public license"),
+    *(("cc", f"cc by{kind} {version}", f"cc by{kind} {version}") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd") for version in ("1 0", "2 0", "2 5", "3 0", "4 0")),
+    *(("cc", f"cc by {kind}", f"cc by {kind}") for kind in ("sa", "nc", "nd")),
+    ("cc", "licensed under cc by", "cc by"),
+    ("cc", "under a cc by license", "a cc by"),
+    ("cc", "creative commons attribution", "creative commons attribution"),
+    ("cc", "under a creative commons license", "creative commons license"),
+    ("cc", "cc0 1 0", "cc0 1 0"),
+    ("cc", "licensed under cc0", "under cc0"),
+    ("cc", "released under cc0", "under cc0"),
+    ("cc", "creative commons zero", "creative commons zero"),
+    *((label, f"spdx license identifier {name}", f"identifier {name}") for label, name in (
         ("apache", "apache 2 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("cc", "cc by"), ("cc", "cc0 1 0"), ("gpl", "gpl 2 0"),
         ("gpl", "gpl 3 0"), ("mit", "mit"), ("mpl", "mpl 2 0"),
     )),
@@ -113,7 +117,10 @@ def phrase_places(docs: DataFrame, phrases=PHRASES) -> DataFrame:
 def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = LicenseScan()) -> DataFrame:
     """(id, label, score) of the templates found; ``docs``: id and text. One row for each id and label."""
     spark = docs.sparkSession
-    table = spark.createDataFrame([(i, *t) for i, t in enumerate(templates)], "item long, label string, item_text string")
+    table = spark.createDataFrame(
+        [(i, t[0], t[1], t[2] if len(t) > 2 else "") for i, t in enumerate(templates)],
+        "item long, label string, item_text string, needed string",
+    )
     grams = table.select("item", "item_text").mapInArrow(item_grams(p.gram), "item long, place long, n_words long, gram long")
     longest = grams.agg(F.max("n_words")).first()[0] or 0
     shared_map = spark.sparkContext.broadcast(hit_map(grams))
@@ -141,9 +148,10 @@ def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = Licen
     words = F.split("passage", " ")
     pairs = (
         spans.join(passages.select("passage_id", "doc_id", "start", "passage"), "passage_id").join(table, "item")
-        .select("doc_id", "label", "item_text", F.array_join(
+        .select("doc_id", "label", "item_text", "needed", F.array_join(
             F.slice(words, (F.col("low") - F.col("start") + 1).cast("int"), (F.col("high") - F.col("low") + p.gram).cast("int")), " "
         ).alias("span"))
+        .filter("contains(concat(' ', span, ' '), concat(' ', needed, if(needed = '', '', ' ')))").drop("needed")
     )
     scored = pairs.mapInArrow(aligned_share(Decontamination(gap=-1)), f"doc_id {id_type}, label string, share double")
     return scored.filter(F.col("share") >= p.share).groupBy("doc_id", "label").agg(F.max("share").alias("score"))

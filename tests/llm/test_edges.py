@@ -10,7 +10,7 @@ import corpus_pipeline  # noqa: E402
 from cyclemart.llm.components import connected_components  # noqa: E402
 from cyclemart.llm.decontamination import Decontamination, align, contaminated_pairs, decontaminated  # noqa: E402
 from cyclemart.llm.html_text import extracted, main_text  # noqa: E402
-from cyclemart.llm.licenses import license_scan  # noqa: E402
+from cyclemart.llm.licenses import TEMPLATES, license_scan  # noqa: E402
 from cyclemart.llm.mixing import meet, mixed, taken_rows  # noqa: E402
 from cyclemart.llm.near_duplicates import NearDuplicates, deduplicated, near_duplicate_components  # noqa: E402
 from cyclemart.llm.preferences import preference_pairs  # noqa: E402
@@ -259,6 +259,32 @@ def test_main_text_of_odd_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<script><!-- var a=1; </script><article><p>Text.</p></article>", "<script>var a='<!--';</script><article><p>Text.</p></article>",
+    "<!-- a --!><article><p>Text.</p></article>", "<article><p>Text.</p></article><!-- b <p>c</p>", "<style><!-- p{} </style><article>Text.</article><di",
+    "<!-- a --><article><p>Text.</p></article><script>var b='<!--'; c<",
+])
+def test_main_text_leaves_comments_to_the_parser(page):
+    assert main_text(page) == "Text."
+
+
+@pytest.mark.parametrize("open_tag, close_tag", [
+    ("<div class='content no-sidebar'><article>", "</article></div>"), ("<main class='has-sidebar'>", "</main>"), ("<main id=comments>", "</main>"),
+    ("<div id='content-with-sidebar'>", "</div>"), ("<article class='post comments-open'>", "</article>"), ("<article class='share'>", "</article>"),
+    ("<div class='sidebar'><div><article>", "</article></div></div>"),
+])
+def test_main_text_keeps_wrappers_and_articles(open_tag, close_tag):
+    text = " ".join(["Long text."] * 30)
+    marked = "<div class='cookie-notice'>Yes?</div><div class='ad-slot-3'>Buy!</div><ul id='share-buttons'><li>Share</li></ul>"
+    assert main_text(f"<body>{marked}{open_tag}<p>{text}</p>{marked}<p>End.</p>{close_tag}</body>") == f"{text}\nEnd."
+
+
+def test_main_text_leaves_out_listed_articles_and_comments():
+    page = ("<main><p>" + "Long text. " * 30 + "</p><ol class='comment-list'><li><article class='comment'><p>I liked it.</p></article></li></ol></main>"
+            "<div class='related-posts'><article><p>" + "Other text. " * 30 + "</p></article></div>")
+    assert main_text(page) == " ".join(["Long text."] * 30)
+
+
 def test_extracted_keeps_rows_and_columns(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     found = extracted(pages).collect()
@@ -284,6 +310,34 @@ def test_license_scan_finds_edited_templates(spark):
     assert found[5].labels == "apache,mit" and found[5].score == 1.0 and found[5].n_words == 53
 
 
+@pytest.mark.parametrize("lines", [(
+    ("Licensed under CC BY-NC 4.0.", "cc"), ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+    ("Released under the MIT License.", "mit"), ("Licensed under the Apache License, Version 2.0.", "apache"),
+    ("Photos: CC BY 2.5", "cc"), ("text is under CC-BY-SA 3.0", "cc"), ("(CC BY-NC-ND)", "cc"), ("Licensed under CC BY.", "cc"), ("CC0 1.0 Universal", "cc"),
+    ("licensed under a Creative Commons Attribution-ShareAlike License", "cc"), ("SPDX-License-Identifier: MIT", "mit"),
+    ("// SPDX-License-Identifier: Apache-2.0", "apache"), ("SPDX-License-Identifier: GPL-3.0-only", "gpl"), ("SPDX-License-Identifier: CC0-1.0", "cc"),
+)])
+def test_license_scan_finds_each_license_line(spark, lines):
+    docs = [(i, f"{prose(i, 30)}\n{line}\n{prose(i + 50, 30)}") for i, (line, _) in enumerate(lines)]
+    found = license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(lines[r.doc_id][1] in r.labels.split(",") and r.score >= 0.6 for r in found)
+
+
+def test_license_scan_takes_no_license_for_another(spark):
+    lines = [
+        ("The album was released under the band's own label", ""), ("released under the terms of the truce", ""), ("released under the title Mit", ""),
+        ("Licensed under the Mozilla Public License, Version 2.0", "mpl"), ("This work is licensed under the Mozilla Public License version 2", "mpl"),
+        ("This work is licensed under a commercial license", ""), ("Licensed under the Open Software License version 3.0", ""),
+        ("You may not use this file except in compliance with the License. You can obtain a copy of the license at opensource.org/licenses/CDDL-1.0", ""),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", ""),
+        ("SPDX-License-Identifier: ISC", ""), ("SPDX-License-Identifier: MPL-2.0", "mpl"),
+    ]
+    own = [(t[1], t[0]) for t in TEMPLATES]
+    docs = [(i, f"{prose(i, 30)}\n{line}\n{prose(i + 50, 30)}") for i, (line, _) in enumerate(lines + own)]
+    found = {r.doc_id: r.labels for r in license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [found[i] for i in range(len(docs))] == [label for _, label in lines + own]
+
+
 def test_url_filter_of_odd_urls(spark):
     urls = [None, "", "no scheme.com/", "http://A.COM/x?q#f", "http://com", "http://b.com?x=/", "ftp://x.example.com/en/", "http://notcom/",
             "http://www.example.com/en/1", "http://example.com/en", "x://y://z.com/"]
