@@ -7,7 +7,8 @@ Each block has its ratio of characters to tags; links count as tags without char
 a Gaussian over neighbouring blocks, and blocks above a threshold in proportion to
 the ratios' standard deviation form the content clusters. A cluster selects its whole region (the
 article or main element around it, else the nearest section), so short paragraphs and
-headings inside the article stay. Where articles exist, other regions go.
+headings inside the article stay. Where articles exist, other regions go. A class or id name never drops an
+article or main element, nor one inside it, unless the page has an article outside such names.
 """
 
 from __future__ import annotations
@@ -43,7 +44,12 @@ UNREAD_NAMES = set(
     "comment comments reply replies respond disqus discussion share sharing social related recommended "
     "footer masthead copyright".split()
 )
-_WORD = re.compile(r"[a-z]+")
+#: Words that may stand beside those in a name; with any other word (has-sidebar, comments-open) it says something else.
+BESIDE = set(
+    "site page main top bottom left right primary secondary global header mobile bar box container wrapper wrap inner outer "
+    "list area section block item items link links button buttons form icons panel slot unit zone post posts entry article body text title".split()
+)
+_PART = re.compile(r"[-_:.]+|(?<=[a-z])(?=[0-9])")
 _SPACE = re.compile(r"\s+")
 
 
@@ -51,6 +57,7 @@ _SPACE = re.compile(r"\s+")
 class Block:
     region: int
     in_article: bool
+    doubtful: bool = False
     tags: int = 0
     linked: int = 0
     parts: list[str] = field(default_factory=list)
@@ -61,13 +68,13 @@ class _Blocks(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, unread, region, in article
+        self.open: list[tuple[str, bool, int, bool, bool, bool]] = []  # tag, unread, region, in article, named unread, doubtful
         self.blocks: list[Block] = []
         self.current: Block | None = None
         self.tags = self.regions = self.links = 0
 
-    def _state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def _state(self) -> tuple[bool, int, bool, bool, bool]:
+        return self.open[-1][1:] if self.open else (False, 0, False, False, False)
 
     def _end_block(self) -> None:
         self.current = None
@@ -84,12 +91,16 @@ class _Blocks(HTMLParser):
             self.current.parts.append(" ")
         if tag in VOID:
             return
-        unread, region, in_article = self._state()
+        unread, region, in_article, named, doubtful = self._state()
         unread = unread or tag in UNREAD or (tag == "header" and not in_article) or _marked(attrs, tag)
+        if tag in ("article", "main") and not in_article:  # names around an article are those of a layout, or of lists of others
+            named, doubtful = False, named
+        else:
+            named = named or _named(attrs, tag)
         if tag in REGION and not in_article:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, unread, region, in_article or tag in ("article", "main")))
+        self.open.append((tag, unread, region, in_article or tag in ("article", "main"), named, doubtful))
         self.links += tag == "a"
 
     def _close_through(self, tags: set[str]) -> None:
@@ -114,11 +125,11 @@ class _Blocks(HTMLParser):
         self.links = sum(t == "a" for t, *_ in self.open)
 
     def handle_data(self, data: str) -> None:
-        unread, region, in_article = self._state()
-        if unread:
+        unread, region, in_article, named, doubtful = self._state()
+        if unread or named:
             return
         if self.current is None:
-            self.current = Block(region, in_article, self.tags)
+            self.current = Block(region, in_article, doubtful, self.tags)
             self.tags = 0
             self.blocks.append(self.current)
         else:
@@ -135,13 +146,24 @@ def _marked(attrs: list, tag: str) -> bool:
     for name, value in attrs:
         if not value:
             continue
-        if name in ("class", "id") and not UNREAD_NAMES.isdisjoint(_WORD.findall(value.lower())):
-            return True
         if name == "role" and value.lower() in UNREAD_ROLES:
             return True
     return any(name == "hidden" for name, _ in attrs)
 
 
+def _named(attrs: list, tag: str) -> bool:
+    """Whether a whole class or id name marks what is not the article."""
+    if tag in ("html", "body"):
+        return False
+    for name, value in attrs:
+        if name in ("class", "id") and value:
+            for token in value.lower().split():
+                parts = {p for p in _PART.split(token) if p and not p.isdigit()}
+                if parts & UNREAD_NAMES and parts <= UNREAD_NAMES | BESIDE:
+                    return True
+    return False
+
+
 def _whole_tags(html: str) -> str:
     """Without the tag or comment in which a page breaks off."""
     comment = html.rfind("<!--")
@@ -174,7 +196,7 @@ def main_text(html: str | None, spread: float = 0.5) -> str:
     ratios = smoothed(np.array([max(0, len(text) - b.linked) / (1 + b.tags) for b, text in blocks]))
     content = ratios >= spread * ratios.std()
     chosen = {b.region for (b, _), good in zip(blocks, content, strict=True) if good}
-    articles = {b.region for b, _ in blocks if b.in_article}
+    articles = {b.region for b, _ in blocks if b.in_article and not b.doubtful} or {b.region for b, _ in blocks if b.in_article}
     if articles:
         chosen = chosen & articles or articles
     return "\n".join(text for b, text in blocks if b.region in chosen)
