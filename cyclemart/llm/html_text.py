@@ -50,6 +50,8 @@ BESIDE = set(
     "list area section block item items link links button buttons form icons panel slot unit zone post posts entry article body text title".split()
 )
 _PART = re.compile(r"[-_:.]+|(?<=[a-z])(?=[0-9])")
+_TAG = re.compile(r"<(?:[A-Za-z/!?]|$)")
+_COMMENT_END = re.compile(r"--!?>")
 _SPACE = re.compile(r"\s+")
 
 
@@ -76,6 +78,20 @@ class _Blocks(HTMLParser):
     def _state(self) -> tuple[bool, int, bool, bool, bool]:
         return self.open[-1][1:] if self.open else (False, 0, False, False, False)
 
+    def finish(self) -> None:
+        """Ends the page without the tag or comment in which it breaks off, which is what the parser still holds."""
+        rest = self.rawdata
+        if self.cdata_elem is None and _TAG.match(rest):
+            comment = _COMMENT_END.search(rest, 4) if rest.startswith("<!--") else None
+            if comment:  # an ending that the parser does not know
+                self.rawdata = ""
+                self.feed(rest[comment.end():])
+                self.finish()
+                return
+            if rest.startswith("<!--") or ">" not in rest:
+                self.rawdata = ""
+        self.close()
+
     def _end_block(self) -> None:
         self.current = None
 
@@ -164,17 +180,6 @@ def _named(attrs: list, tag: str) -> bool:
     return False
 
 
-def _whole_tags(html: str) -> str:
-    """Without the tag or comment in which a page breaks off."""
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
-    last = html.rfind("<")
-    if last >= 0 and html.find(">", last) < 0 and re.match(r"<(?:[A-Za-z/!?]|$)", html[last:last + 2]):
-        html = html[:last]
-    return html
-
-
 def smoothed(ratios: np.ndarray, radius: int = 1) -> np.ndarray:
     """Gaussian mean over ``radius`` neighbours on each side (standard deviation ``radius``)."""
     weights = np.exp(-0.5 * (np.arange(-radius, radius + 1) / radius) ** 2)
@@ -187,8 +192,8 @@ def main_text(html: str | None, spread: float = 0.5) -> str:
     if not html:
         return ""
     parser = _Blocks()
-    parser.feed(_whole_tags(html))
-    parser.close()
+    parser.feed(html)
+    parser.finish()
     blocks = [(b, _SPACE.sub(" ", "".join(b.parts)).strip()) for b in parser.blocks]
     blocks = [(b, text) for b, text in blocks if text]
     if not blocks:
