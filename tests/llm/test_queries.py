@@ -34,7 +34,7 @@ def rows(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 12))}
     assert set(SQL) == {"op1_quality_rules", "op2_chat_formatting", "op9_url_filters", "op10_near_duplicates"}
 
 
