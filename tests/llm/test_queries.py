@@ -34,8 +34,8 @@ def rows(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in (*range(1, 12), 13))}
-    assert set(SQL) == {"op1_quality_rules", "op2_chat_formatting", "op9_url_filters", "op10_near_duplicates", "op13_ranked_search"}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
+    assert set(SQL) == {"op1_quality_rules", "op2_chat_formatting", "op9_url_filters", "op10_near_duplicates", "op12_prefix_trie", "op13_ranked_search"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
