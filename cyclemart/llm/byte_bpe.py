@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 
 #: Pieces of a text that are encoded together; a longer text is taken in so many at a time.
 PIECES = 200_000
-#: The pieces remembered by a task are forgotten beyond so many bytes.
-REMEMBERED_BYTES = 48 << 20
+#: Pieces and pairs that a worker remembers are forgotten beyond so many bytes, and so many pairs.
+REMEMBERED_BYTES = 96 << 20
+REMEMBERED_PAIRS = 1_000_000
 #: Results go back to Spark in batches of about so many bytes.
 BATCH_BYTES = 4 << 20
 _NEVER = 1 << 62
-ALONE = (1,)
 
 
 def _merged(data: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
@@ -59,8 +59,9 @@ class Vocabulary:
     pieces: dict[int, bytes] = field(init=False)
     left: dict[bytes, list] = field(init=False)
     right: dict[bytes, list] = field(init=False)
-    lengths: dict[bytes, tuple[int, ...]] = field(init=False)
+    longer: dict[bytes, set[int]] = field(init=False)
     longest: int = field(init=False)
+    encoders: dict[str, Encoder] = field(init=False, default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         self.pieces = {rank: token for token, rank in self.ranks.items()}
@@ -81,12 +82,17 @@ class Vocabulary:
                     raise ValueError(f"token {token!r} ranks before one that it is made of")
                 self.left[token] = [*self.left[first], here]
                 self.right[token] = [*self.right[second], here]
-        ends: dict[bytes, set[int]] = {}
+        self.longer = {}
         for token in self.left:
-            ends.setdefault(token[-2:], set()).add(len(token))
-        self.lengths = {end: (*sorted(found - {1}, reverse=True), 1) for end, found in ends.items()}
+            if len(token) > 2:
+                self.longer.setdefault(token[-3:], set()).add(len(token))
         self.longest = max(map(len, self.left))
 
+    def sizes(self, end: bytes) -> tuple[int, ...]:
+        """Sizes, longest first, of the tokens that end a prefix with the last (three, if it has them) bytes ``end``."""
+        longer = sorted(self.longer.get(end, ()), reverse=True)
+        return (*longer, *([2] if len(end) > 1 and end[-2:] in self.left else []), 1)
+
     def fits(self, first: bytes, second: bytes) -> bool:
         """Whether merging the bytes of both tokens leaves just these two."""
         edges, others, ranks = self.right[first], self.left[second], self.ranks
@@ -111,12 +117,20 @@ def load_vocabulary(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
 
+@dataclass
+class Known:
+    """What was found out about pairs of tokens and about ends of prefixes, for reuse."""
+
+    fitting: dict = field(default_factory=dict)
+    ending: dict = field(default_factory=dict)
+
+
 class Prefixes:
     """The last token of each prefix of a byte string that grows, shrinks and is edited."""
 
-    def __init__(self, vocabulary: Vocabulary, fitting: dict | None = None):
+    def __init__(self, vocabulary: Vocabulary, known: Known | None = None):
         self.vocabulary = vocabulary
-        self.fitting = {} if fitting is None else fitting
+        self.known = known or Known()
         self.data = b""
         self.last: list[bytes] = [b""]
 
@@ -133,22 +147,26 @@ class Prefixes:
     def _walk(self, start: int, old: list[bytes] | None = None) -> int:
         """Last tokens from ``start`` on; ends early, with its number of steps, where as many as
         matter agree with the ``old`` ones."""
-        data, last, fitting, vocabulary = self.data, self.last, self.fitting, self.vocabulary
-        left, lengths, fits, longest = vocabulary.left, vocabulary.lengths, vocabulary.fits, vocabulary.longest
+        data, last, fitting, ending, vocabulary = self.data, self.last, self.known.fitting, self.known.ending, self.vocabulary
+        left, fits, longest = vocabulary.left, vocabulary.fits, vocabulary.longest
         same = 0
         for end in range(start + 1, len(data) + 1):
-            for size in lengths[data[end - 2:end]] if end > 1 and data[end - 2:end] in lengths else ALONE:
+            tail = data[end - 3:end] if end > 2 else data[:end]
+            sizes = ending.get(tail)
+            if sizes is None:
+                sizes = ending[tail] = vocabulary.sizes(tail)
+            for size in sizes:
                 if size > end:
                     continue
                 token = data[end - size:end]
-                if size == end:
-                    if token in left:
-                        break
+                if token not in left:
                     continue
+                if size == end:
+                    break
                 pair = last[end - size], token
                 good = fitting.get(pair)
                 if good is None:
-                    good = fitting[pair] = token in left and fits(*pair)
+                    good = fitting[pair] = fits(*pair)
                 if good:
                     break
             last.append(token)
@@ -184,11 +202,11 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.memory: dict[str, bytes] = {}
         self.remembered = 0
-        self.fitting: dict = {}
+        self.known = Known()
 
     def _learn(self, new: list[str]) -> None:
         ranks = self.vocabulary.ranks
-        walk = Prefixes(self.vocabulary, self.fitting)
+        walk = Prefixes(self.vocabulary, self.known)
         for data, piece in sorted((p.encode(), p) for p in new):
             if data in ranks:
                 tokens = [data]
@@ -201,8 +219,8 @@ class Encoder:
                 tokens = walk.tokens()
             self.memory[piece] = np.fromiter((ranks[t] for t in tokens), "<u4", len(tokens)).tobytes()
             self.remembered += 100 + len(data)
-        if len(self.fitting) > 2_000_000:
-            self.fitting.clear()
+        if len(self.known.fitting) + len(self.known.ending) > REMEMBERED_PAIRS:
+            self.known = Known()
 
     def _joined(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.memory.__getitem__, pieces))
@@ -275,6 +293,13 @@ class Encoder:
         return ids[:count].tobytes() if forward else ids[len(ids) - count:].tobytes()
 
 
+def _encoder(vocabulary: Vocabulary, pattern: str) -> Encoder:
+    """The encoder lives with the vocabulary, which a worker keeps from task to task."""
+    if pattern not in vocabulary.encoders:
+        vocabulary.encoders[pattern] = Encoder(vocabulary, pattern)
+    return vocabulary.encoders[pattern]
+
+
 def _boundary_before(text: str, place: int) -> int:
     """The last place, two characters or more ahead of ``place``, where white space follows another character."""
     for at in range(min(place, len(text) - 1) - 2, 0, -1):
@@ -362,7 +387,7 @@ def encoded(
     spread = tuple(outputs)
 
     def work():
-        encoder = Encoder(shared.value, pattern)
+        encoder = _encoder(shared.value, pattern)
 
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             texts = map(_as_text, _binary(batch.column(batch.schema.get_field_index(text))))
@@ -380,7 +405,7 @@ def decoded(frame: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataF
     shared = frame.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work():
-        encoder = Encoder(shared.value, "")
+        encoder = _encoder(shared.value, "")
 
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             for packed in _unpacked(batch.column(batch.schema.get_field_index(ids))):
@@ -403,7 +428,7 @@ def re_encoded(
     shared = frame.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work():
-        encoder = Encoder(shared.value, pattern)
+        encoder = _encoder(shared.value, pattern)
 
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             old, new, known = (batch.column(batch.schema.get_field_index(c)) for c in (before, after, ids))
