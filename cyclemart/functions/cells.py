@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,30 +53,16 @@ def lenient_boolean(cell: Column) -> Column:
 def _six_digits(number: Column) -> Column:
     """A double below 2^63 with six decimals, rounded from its exact binary value, ties to even.
 
-    The fraction is taken apart into 20, 40 and 40 bits, which scaling by powers of two does without
-    error; millionths are then an exact integer division, and what lies below only breaks ties.
+    The remainder of a double by a power of two has no error. So the fraction falls into parts of 26, 20 and
+    the remaining bits, each of which times a million is exact, and the sign of what lies above ``below`` and
+    one half is certain. That moves the half up or down by a quarter, which ``rint`` then rounds.
     """
     size = F.abs(number)
-    whole = F.floor(size)
-    high = F.floor((size - whole) * 2.0**20)
-    rest = ((size - whole) * 2.0**20 - high) * 2.0**40
-    low = F.floor(rest)
-    last = (rest - low) * 2.0**40
-    lowest = F.floor(last) * 1_000_000
-    below = (last > F.floor(last)) | (lowest.bitwiseAND(F.lit(2**40 - 1)) != 0)
-    scaled = (high * F.lit(2**40) + low).cast("decimal(20,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.shiftright(lowest, 40)
-    unit = F.lit(2**60).cast("decimal(20,0)")
-    millionths = F.floor(scaled / unit).cast("long")
-    # The quotient is rounded; the remainder, which is exact, tells whether it went up.
-    left = scaled - millionths.cast("decimal(20,0)") * unit
-    millionths = F.when(left < 0, millionths - 1).otherwise(millionths)
-    left = F.when(left < 0, left + unit).otherwise(left)
-    half = F.lit(2**59).cast("decimal(20,0)")
-    up = (left > half) | ((left == half) & (below | (millionths % 2 == 1)))
-    millionths = millionths + up.cast("long")
-    digits = F.concat(
-        (whole + F.floor(millionths / 1_000_000)).cast("string"), F.lit("."), F.lpad((millionths % 1_000_000).cast("string"), 6, "0")
-    )
+    fraction, low, lowest = size % 1.0, size % 2.0**-26, size % 2.0**-46
+    below = F.floor(fraction * 1e6)
+    above = (fraction - low) * 1e6 - below - 0.5 + (low - lowest) * 1e6 + lowest * 1e6
+    millionths = F.rint(below + 0.5 + F.signum(above) * 0.25).cast("decimal(7,0)")
+    digits = (F.floor(size).cast("decimal(20,0)") + millionths * Decimal("0.000001")).cast("string")
     negative = (number < 0) | ((number == 0) & F.startswith(number.cast("string"), F.lit("-")))
     return F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), digits)
 

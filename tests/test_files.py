@@ -1,5 +1,7 @@
 """Names, listing, contract check, typed scan."""
 
+import math
+import random
 from datetime import datetime
 
 import pytest
@@ -155,3 +157,18 @@ def test_lenient_and_rendered_cells(spark):
         cells.render_cell("period", F.col("n")), cells.render_cell("is_burst", F.col("f")),
     ).first()
     assert tuple(shown) == ("0.123457", "", "12", "", "True")
+
+
+def test_six_digits_are_those_of_the_exact_value(spark):
+    r = random.Random(3)
+    values = [k / 128 for k in range(-260, 260)] + [(2 * k + 1) / 2e6 for k in range(2000)] + [0.0, -0.0, -1e-9, 0.9999995, 2.0**52 + 0.5, 9.2e18]
+    values += [math.nextafter((k + 0.5) * 1e-6, way) for k in range(1500) for way in (0, 1)]
+    values += [r.uniform(-1, 1) * 10.0 ** r.randint(-9, 18) for _ in range(5000)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [x.t for x in frame.select(cells.render_cell("period", F.col("v")).alias("t")).collect()] == [f"{v:.6f}" for v in values]
+
+
+def test_rendering_a_cell_is_a_small_expression(spark):
+    frame = spark.range(1).select((F.col("id") * 0.1).alias("v")).repartition(1)
+    plan = frame.select(cells.render_cell("period", F.col("v")).alias("t"))._jdf.queryExecution().optimizedPlan()
+    assert len(plan.expressions().apply(0).numberedTreeString().splitlines()) < 130
