@@ -11,6 +11,7 @@ from cyclemart.settings import Settings
 
 LOAD_KEYS = (*CHANNEL_KEYS, "load_condition")
 HISTOGRAM_BINS = 50
+BIN_KEYS = ("metric", "region", "load_condition", "is_burst", "bin")
 
 
 def analysed_cycles(fact: DataFrame, burst_only: bool) -> DataFrame:
@@ -102,28 +103,27 @@ def channel_paired(load: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def symmetry_histogram(fact: DataFrame) -> DataFrame:
-    """Both metrics in bins of 1/50, in one pass over the fact.
-
-    Counted per subject first, so subjects are then counted by rows and nothing
-    is expanded for the distinct count. A value of exactly 1 opens its own bin.
-    """
+def symmetry_counts(fact: DataFrame) -> DataFrame:
+    """Both metrics in bins of 1/50 by subject, in one pass over the fact. A value of exactly 1 opens its own bin."""
     long = fact.select("subject_id", "region", "load_condition", "is_burst", *SYMMETRY_METRICS).unpivot(
         ["subject_id", "region", "load_condition", "is_burst"], list(SYMMETRY_METRICS), "metric", "value"
     ).filter("value IS NOT NULL")
-    keys = ["metric", "region", "load_condition", "is_burst", "bin"]
-    per_subject = long.withColumn("bin", F.floor(F.col("value") * HISTOGRAM_BINS)).groupBy(*keys, "subject_id").agg(
-        F.count("*").alias("n")
-    )
+    return long.withColumn("bin", F.floor(F.col("value") * HISTOGRAM_BINS)).groupBy("subject_id", *BIN_KEYS).agg(F.count("*").alias("n"))
+
+
+def histogram_of(counts: DataFrame) -> DataFrame:
+    """Subjects are counted by rows, so nothing is expanded for the distinct count."""
     width = F.lit(float(HISTOGRAM_BINS))
-    return per_subject.groupBy(*keys).agg(
-        F.sum("n").alias("n_cycles"), F.count("subject_id").alias("n_subjects")
-    ).select(
-        *keys[:4], (F.col("bin") / width).alias("bin_start"), ((F.col("bin") + 1) / width).alias("bin_end"),
+    return counts.groupBy(*BIN_KEYS).agg(F.sum("n").alias("n_cycles"), F.count("subject_id").alias("n_subjects")).select(
+        *BIN_KEYS[:4], (F.col("bin") / width).alias("bin_start"), ((F.col("bin") + 1) / width).alias("bin_end"),
         "n_cycles", "n_subjects",
     )
 
 
+def symmetry_histogram(fact: DataFrame) -> DataFrame:
+    return histogram_of(symmetry_counts(fact))
+
+
 def subject_coverage(rollup: DataFrame, paired: DataFrame) -> DataFrame:
     """What each subject and region contributed.
 
