@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemart.contract import SOURCE_COLUMNS
@@ -15,11 +15,13 @@ from cyclemart.operators.staging_area import new_location
 from cyclemart.plans.analysis import run_analysis
 from cyclemart.plans.quality import run_checks
 from cyclemart.plans.warehouse import Warehouse
+from cyclemart.settings import Paths
 from cyclemart.sources import extracts, files
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import loaded_rows, read_lake, write_lake
 from cyclemart.sources.ledger import Ledger
 from cyclemart.sources.trials import normalise_trial_info, reload_trials
+from cyclemart.streaming.arrivals import watch
 from showcase import tables as t
 from showcase.core import PAIRED_ROUNDED
 from showcase.registry import query, rounded
@@ -255,6 +257,92 @@ def warehouse_rebuild(spark, sf):
     return coverage.select("subject_id", "region", "n_channels", "n_trials", "n_cycles", "n_burst_cycles", "extracted_at")
 
 
+def _number(column: str = "subject_id") -> Column:
+    return F.substring(column, 2, 9).cast("int")
+
+
+@query("touched_subjects", with_ctes("""
+SELECT t.subject_id, t.region, count(DISTINCT channel_label) AS n_channels, count(DISTINCT trial) AS n_trials, count(*) AS n_cycles,
+  count(*) FILTER (WHERE is_burst) AS n_burst_cycles, max(strptime(t.extraction_id, '%Y%m%d_%H%M%S')) AS extracted_at,
+  CAST(substr(t.subject_id, 2) AS INTEGER) % 3 = 0 AS rebuilt
+FROM tree AS t JOIN (SELECT subject_id, region, max(extraction_id) AS extraction_id FROM tree GROUP BY 1, 2) AS l
+  ON t.subject_id = l.subject_id AND t.region = l.region AND t.extraction_id = l.extraction_id
+GROUP BY t.subject_id, t.region""", "tree"))
+def touched_subjects(spark, sf):
+    """Extractions of a third of the subjects come late: only these subjects are built again, and all agree with a whole build."""
+    def build() -> DataFrame:
+        paths = replace(t.SETTINGS.paths, lake=new_location(spark, "late-lake"), tables=new_location(spark, "late-tables"))
+        warehouse = Warehouse(spark, replace(t.SETTINGS, paths=paths))
+        t.trials(spark, sf).write.parquet(warehouse.location("trial_metadata"))
+        lake = read_lake(spark, _lake(spark, sf)).withColumns({"_block": F.lit(0), "_size": F.lit(0)})
+        late = (_number() % 3 == 0) & (F.substring("extraction_id", 1, 4) > "1994")
+        warehouse.load(lake.filter(~late))
+        warehouse.build_marts(warehouse.build_core())
+        warehouse.publish_tables()
+        first = warehouse.published.subjects()["versions"]
+        warehouse.load(lake.filter(late))
+        warehouse.build_marts(warehouse.build_core([f"S{i}" for i in range(0, 25, 3)]))
+        warehouse.publish_tables()
+        second = warehouse.published.subjects()["versions"]
+        again = [s for s, versions in second.items() if versions[0] != first.get(s, [None])[0]]
+        return warehouse.table("subject_coverage").withColumn("rebuilt", F.col("subject_id").isin(again))
+
+    coverage = t.once(spark, sf, "touched", build)
+    return coverage.select("subject_id", "region", "n_channels", "n_trials", "n_cycles", "n_burst_cycles", "extracted_at", "rebuilt")
+
+
+# Files arrive in two batches. At first those of a third of the subjects are narrow and another third's have two columns
+# swapped; the newest extraction of the rest is not there yet. Before the second batch the narrow ones are repaired.
+ARRIVED = """
+files AS (
+  SELECT subject_id, region, extraction_id, CAST(substr(subject_id, 2) AS INTEGER) % 3 AS flaw, count(*) AS n,
+    substr(extraction_id, 1, 4) = '1998' AS late
+  FROM tree GROUP BY ALL
+), seen AS (
+  SELECT 0 AS batch, * FROM files WHERE NOT (late AND flaw = 0)
+  UNION ALL SELECT 1, * FROM files WHERE flaw > 0 OR late
+)
+SELECT batch, CASE batch WHEN 0 THEN 'success' ELSE 'failed' END AS run_status, subject_id, region, extraction_id,
+  CASE WHEN flaw = 0 OR (flaw = 2 AND batch = 1) THEN 'loaded' ELSE 'skipped' END AS status,
+  CASE WHEN flaw = 1 THEN 'column order' WHEN flaw = 2 AND batch = 0 THEN 'missing columns is_burst; unexpected columns burst' END AS reason,
+  CASE WHEN flaw = 0 OR (flaw = 2 AND batch = 1) THEN n END AS row_count,
+  CASE WHEN flaw <> 1 THEN n END AS rows_in_lake
+FROM seen"""
+
+
+@query("stream_arrivals", with_ctes("SELECT * FROM (WITH " + ARRIVED.strip() + ") AS arrived", "tree"))
+def stream_arrivals(spark, sf):
+    """A stream over flawed files: what the ledger says of each file and batch, and the rows the lake has of it.
+
+    The first batch is published whatever the checks say, the second meets the gate and is blocked.
+    """
+    def build() -> str:
+        root = new_location(spark, "arrivals")
+        names = ("source_root", "trial_metadata", "lake", "tables", "ledger", "exports")
+        settings = replace(t.SMALL_SETTINGS, paths=Paths(**{n: f"{root}/{n}" for n in names}), quality=replace(t.SETTINGS.quality, max_null_fraction=-1.0))
+        settings = replace(settings, analysis=replace(settings.analysis, n_permutations=1000, n_bootstrap=200))
+        warehouse = Warehouse(spark, settings)
+        t.contract_files(spark, sf, f"{root}/source_root", lambda year, flaw: ~((year == 1998) & (flaw == 0)), flawed=(1, 2))
+        t.trial_files(spark, sf, f"{root}/trial_metadata")
+        watch(warehouse, f"{root}/state", no_fail=True).awaitTermination()
+        t.contract_files(spark, sf, f"{root}/source_root", lambda year, flaw: (flaw == 2) | ((year == 1998) & (flaw == 0)), flawed=())
+        watch(warehouse, f"{root}/state").awaitTermination()
+        return root
+
+    root = t.once(spark, sf, "arrivals", build)
+    ledger = Ledger(spark, f"{root}/ledger")
+    runs = ledger.read("pipeline_run").select("run_id", F.col("status").alias("run_status"))
+    identity = naming.file_identity(files.base_name(F.col("source_path")))
+    keys = ("subject_id", "region", "extraction_id")
+    seen = ledger.read("source_file").join(runs, "run_id").select(
+        F.substring("run_id", -6, 6).cast("int").alias("batch"), "run_status", *[identity[k].alias(k) for k in keys], "status",
+        F.when(F.col("reason").contains("column order"), "column order").otherwise(F.regexp_replace("reason", r"(^contract: |[^ ;]*\.csv: )", "")).alias("reason"),
+        "row_count",
+    )
+    lake = read_lake(spark, f"{root}/lake").groupBy(*keys).agg(F.count("*").alias("rows_in_lake"))
+    return seen.join(lake, list(keys), "left").select("batch", "run_status", *keys, "status", "reason", "row_count", "rows_in_lake")
+
+
 def _exports(spark, sf) -> str:
     def build() -> str:
         folder = new_location(spark, "exports")
