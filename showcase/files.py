@@ -322,10 +322,10 @@ def stream_arrivals(spark, sf):
         settings = replace(t.SMALL_SETTINGS, paths=Paths(**{n: f"{root}/{n}" for n in names}), quality=replace(t.SETTINGS.quality, max_null_fraction=-1.0))
         settings = replace(settings, analysis=replace(settings.analysis, n_permutations=1000, n_bootstrap=200))
         warehouse = Warehouse(spark, settings)
-        t.contract_files(spark, sf, f"{root}/source_root", lambda year, flaw: ~((year == 1998) & (flaw == 0)), flawed=(1, 2))
+        t.contract_files(spark, t.flawed_tree(spark, sf), f"{root}/source_root", lambda year, third: third > 0 or year != 1998)
         t.trial_files(spark, sf, f"{root}/trial_metadata")
         watch(warehouse, f"{root}/state", no_fail=True).awaitTermination()
-        t.contract_files(spark, sf, f"{root}/source_root", lambda year, flaw: (flaw == 2) | ((year == 1998) & (flaw == 0)), flawed=())
+        t.contract_files(spark, t.feature_tree(spark, sf), f"{root}/source_root", lambda year, third: third == 2 or (third == 0 and year == 1998))
         watch(warehouse, f"{root}/state").awaitTermination()
         return root
 

@@ -222,35 +222,27 @@ def flawed_tree(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _place(spark: SparkSession, written: str, root: str, name) -> None:
-    """Move the one file of each written folder to ``root``, as ``name`` (of the folder's keys) says. Files that
-    are there already are replaced."""
-    paths = spark._jvm.org.apache.hadoop.fs
-    system = paths.Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    """Copy the one file of each written folder to ``root`` as ``name`` (of the folder's keys; None: not at all)
+    says. Files that are there already are replaced."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(written)
     for row in found.select("path").toLocalIterator():  # as many as there are files
-        keys = dict(part.split("=", 1) for part in row["path"].split("/") if "=" in part)
-        target = paths.Path(f"{root}/{name(keys)}")
-        system.mkdirs(target.getParent())
-        if system.exists(target):
-            system.delete(target, False)
-        system.rename(paths.Path(row["path"]), target)
-
-
-def contract_files(spark: SparkSession, sf_dir: str, root: str, wanted, flawed: tuple[int, ...]) -> None:
-    """Files named by the contract, one per (subject, region, year). ``wanted(year, flaw)`` says which, and which thirds of the subjects
-    in ``flawed`` have swapped (1) or renamed (2) columns."""
-    rows = features(spark, sf_dir)
-    flaw = F.substring("subject_id", 2, 9).cast("int") % 3
-    cells = rows.select(*_cells(rows), *_tree_keys(), flaw.alias("_flaw"))
-    cells = cells.filter(wanted(F.substring("extraction_id", 1, 4).cast("int"), F.col("_flaw")))
-    names = list(SOURCE_COLUMNS)
-    layouts = {1: [names[1], names[0], *names[2:]], 2: [*names[:-1], "burst"]}
-    whole = cells.filter(~F.col("_flaw").isin(list(flawed))) if flawed else cells
-    parts = [(whole, names)] + [(cells.filter(F.col("_flaw") == k).withColumn("burst", F.col("is_burst")), layouts[k]) for k in flawed]
-    for part, columns in parts:
-        written = new_location(spark, "contract")
-        _write_tree(part, columns, written)
-        _place(spark, written, root, lambda k: f"{k['subject_id']}/{k['region']}/{k['subject_id']}_{k['region']}_bycycle_features_{k['extraction_id']}.csv")
+        target = name(dict(part.split("=", 1) for part in row["path"].split("/") if "=" in part))
+        if target:
+            source, place = hadoop.Path(row["path"]), hadoop.Path(f"{root}/{target}")
+            system = source.getFileSystem(conf)
+            hadoop.FileUtil.copy(system, source, system, place, False, True, conf)
+
+
+def contract_files(spark: SparkSession, tree: str, root: str, wanted) -> None:
+    """Files of a tree under the names that the contract gives them. ``wanted(year, third)`` says which, by extraction and subject."""
+    def name(keys: dict[str, str]) -> str | None:
+        subject, region, extraction = keys["subject_id"], keys["region"], keys["extraction_id"]
+        if wanted(int(extraction[:4]), int(subject[1:]) % 3):
+            return f"{subject}/{region}/{subject}_{region}_bycycle_features_{extraction}.csv"
+        return None
+
+    _place(spark, tree, root, name)
 
 
 def trial_files(spark: SparkSession, sf_dir: str, root: str) -> None:
