@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from cyclemart.operators.staging_area import materialise
 
 
+#: Bins of one pass of a selection.
+SELECTION_BINS = 4096
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Keys above a row limit, with their row counts in column ``rows``."""
@@ -129,7 +133,7 @@ def exact_medians(
     result = other_rows.groupBy(*keys).agg(*[F.median(c).alias(a) for a, c in medians.items()])
     hot_result = hot_rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     for alias, column in medians.items():
-        one = _median_by_bracket(hot_rows, keys, column, alias)
+        one = _median_by_counting(hot_rows, keys, column, alias)
         hot_result = join_on_keys(hot_result, one, keys, "left", [alias])
     return result.unionByName(hot_result.drop("_n"))
 
@@ -143,50 +147,72 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(side, condition, how).select(*left.columns, *take)
 
 
-def _median_by_bracket(df: DataFrame, keys: Sequence[str], column: str, alias: str, width: float = 1e-3) -> DataFrame:
-    """Exact median per key without holding a key's values in one place.
+def _open_state(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What is known of each key's lower middle value: rank, values below, finite bounds, and the value once found."""
+    number, finite = ~F.isnan("_v"), F.abs("_v") < float("inf")
+    totals = values.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.count_if(number).alias("_numbers"),
+        F.min(F.when(finite, F.col("_v"))).alias("_low"), F.max(F.when(finite, F.col("_v"))).alias("_high"),
+    )
+    rank = F.floor((F.col("_n") - 1) / 2)
+    return totals.withColumns({  # NaN is the largest value
+        "_rank": rank, "_below": F.lit(0).cast("long"), "_value": F.when(rank >= F.col("_numbers"), float("nan")),
+    }).select(*keys, "_n", "_rank", "_below", F.coalesce("_low", F.lit(0.0)).alias("_low"), F.coalesce("_high", F.lit(0.0)).alias("_high"), "_value")
+
+
+def _bin() -> Column:
+    """Bin of a value between the bounds; a larger value never has a smaller bin, and both bounds have bins of their own ends."""
+    value, low, high = (F.col(c) for c in ("_v", "_low", "_high"))
+    share = (value / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0))  # halves cannot overflow
+    inner = F.least(F.floor(share * SELECTION_BINS), F.lit(SELECTION_BINS - 1))
+    return (
+        F.when(value == float("-inf"), -1).when(value == float("inf"), SELECTION_BINS)
+        .when(value <= low, 0).when(value >= high, SELECTION_BINS - 1).otherwise(F.coalesce(inner, F.lit(0))).cast("int")
+    )
 
-    A quantile sketch brackets the middle ranks. Only values inside the bracket
-    are ranked, each once with its count; values below are merely counted. The
-    counts then show whether the middle ranks are inside. If the sketch was off
-    for any key, the bracket widens up to the whole range, so the result is
-    exact whatever the sketch says.
-    """
-    values = materialise(df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).alias("_v")), "hot-values")
-    while True:
-        if width < 0.5:
-            ends = F.percentile_approx("_v", [0.5 - width, 0.5 + width], int(10 / width))
-            low, high = F.get(ends, 0), F.get(ends, 1)
-        else:
-            low, high = F.min("_v"), F.max("_v")
-        brackets = materialise(
-            values.groupBy(*keys).agg(F.count("*").alias("_n"), low.alias("_low"), high.alias("_high")), "hot-brackets"
-        )
-        joined = join_on_keys(values, brackets, keys, "inner", ["_n", "_low", "_high"])
-        below = materialise(
-            joined.groupBy(*keys, "_n").agg(
-                F.count_if(F.col("_v") < F.col("_low")).alias("_below"),
-                F.count_if(F.col("_v") <= F.col("_high")).alias("_upto"),
-            ),
-            "hot-below",
-        )
-        missed = below.filter(
-            (F.col("_below") > F.floor((F.col("_n") - 1) / 2)) | (F.col("_upto") <= F.floor(F.col("_n") / 2))
-        )
-        if width >= 0.5 or missed.isEmpty():
-            break
-        width = min(0.5, width * 10)
-
-    inside = (
-        joined.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
-        .groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+
+def _narrowed(state: DataFrame, values: DataFrame, keys: Sequence[str], first: bool) -> DataFrame:
+    """One pass: count the values between the bounds by bin, and go on inside the bin that holds the rank."""
+    known = ["_rank", "_below", "_low", "_high"]
+    inside = join_on_keys(values, state.filter("_value IS NULL"), keys, "inner", known)
+    if not first:
+        inside = inside.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+    counted = inside.filter(~F.isnan("_v")).groupBy(*keys, _bin().alias("_bin")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
+    )
+    bins = counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_bin", "_c", "_from", "_to"))).alias("_bins"))
+    found = join_on_keys(state, bins, keys, "left", ["_bins"])
+
+    def step(at: Column, each: Column) -> Column:
+        passed = at["_below"] + each["_c"]
+        here = F.struct(at["_below"].alias("_below"), each["_from"].alias("_from"), each["_to"].alias("_to"))
+        later = F.struct(passed.alias("_below"), at["_from"].alias("_from"), at["_to"].alias("_to"))
+        return F.when(at["_from"].isNotNull(), at).when(passed > F.col("_rank"), here).otherwise(later)
+
+    nothing = F.lit(None).cast("double")
+    start = F.struct(F.col("_below"), nothing.alias("_from"), nothing.alias("_to"))
+    reached = found.withColumn("_at", F.when(F.col("_bins").isNotNull(), F.aggregate("_bins", start, step)))
+    return reached.select(
+        *keys, "_n", "_rank", F.coalesce("_at._below", "_below").alias("_below"), F.coalesce("_at._from", "_low").alias("_low"),
+        F.coalesce("_at._to", "_high").alias("_high"),
+        F.coalesce("_value", F.when(F.col("_at._from") == F.col("_at._to"), F.col("_at._from"))).alias("_value"),
     )
-    ranked = join_on_keys(inside, below, keys, "inner", ["_n", "_below"])
-    upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*keys).orderBy("_v"))
-    ranked = ranked.withColumn("_to", upto).withColumn("_from", F.col("_to") - F.col("_c"))
 
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
 
-    middle_low, middle_high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    return ranked.groupBy(*keys).agg(((at_rank(middle_low) + at_rank(middle_high)) / F.lit(2.0)).alias(alias))
+def _median_by_counting(df: DataFrame, keys: Sequence[str], column: str, alias: str) -> DataFrame:
+    """Exact median per key without sorting a key's values or holding them in one place.
+
+    Values are only counted, in bins that combine map-side: a pass shuffles at most ``SELECTION_BINS`` rows a key and task and
+    shrinks a key's bounds to the smallest and largest value of the bin that holds its middle rank. Both bounds fall into different
+    bins, so each pass leaves fewer distinct values and the last leaves one. For values spread evenly a pass takes 12 bits.
+    """
+    values = materialise(df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v")), "hot-values")
+    state, first = materialise(_open_state(values, keys), "hot-state"), True
+    while not state.filter("_value IS NULL").isEmpty():
+        state, first = materialise(_narrowed(state, values, keys, first), "hot-state"), False
+    joined = join_on_keys(values, state, keys, "inner", ["_n", "_value"])
+    after = joined.groupBy(*keys, "_n", "_value").agg(
+        F.count_if(F.col("_v") <= F.col("_value")).alias("_upto"), F.min(F.when(F.col("_v") > F.col("_value"), F.col("_v"))).alias("_next")
+    )
+    upper = F.when(F.col("_upto") > F.floor(F.col("_n") / 2), F.col("_value")).otherwise(F.col("_next"))
+    return after.select(*keys, ((F.col("_value") + upper) / 2.0).alias(alias))

@@ -26,7 +26,7 @@ def channel_load(fact: DataFrame, settings: Settings, known_rows: int | None = N
     """Summary per channel and condition.
 
     Medians are exact. Groups with more values than one task should hold get
-    them by bracketing (see ``exact_medians``); all other measures combine
+    them by counting (see ``exact_medians``); all other measures combine
     map-side and need no care. Trials are counted apart and joined at channel
     grain: a distinct count in the same aggregate would shuffle the median
     buffers once per trial.

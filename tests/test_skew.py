@@ -1,11 +1,13 @@
 """The distributed ways agree with the plain ones, whatever the keys look like."""
 
+import math
 import random
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from cyclemart.operators import skew
 from cyclemart.operators.runs import flagged_runs
 from cyclemart.operators.skew import exact_medians, hot_keys, number_rows
 from cyclemart.plans.fact import build_fact
@@ -131,3 +133,33 @@ def test_channel_marts_with_hot_groups(spark):
     for a, b in zip(left, right):
         for name in a.asDict():
             assert a[name] == (pytest.approx(b[name], abs=1e-12) if isinstance(b[name], float) else b[name]), name
+
+
+def middle(values):
+    own = sorted(values, key=lambda v: (math.isnan(v), v))
+    return (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2
+
+
+@pytest.mark.parametrize("bins", [64, 4096])
+def test_medians_by_counting(spark, monkeypatch, bins):
+    monkeypatch.setattr(skew, "SELECTION_BINS", bins)
+    r, inf, nan = random.Random(bins), math.inf, math.nan
+    cases = {
+        "even": [r.random() for _ in range(400)], "odd": [r.gauss(0, 1e-3) for _ in range(401)], "ties": [0.5] * 300 + [0.25] * 300,
+        "scales": [r.choice([-1, 1]) * 10.0 ** r.randint(-30, 30) for _ in range(200)], "huge": [-1.7e308, 1.7e308, 1e308, 3.0],
+        "infinite": [-inf] * 3 + [inf] * 2 + [1.0, 2.0], "mostly infinite": [inf] * 5 + [1.0], "nan": [nan] * 3 + [1.0, 2.0, 3.0],
+        "mostly nan": [nan] * 4 + [1.0], "one": [7.0], "zeros": [0.0, -0.0, 0.0], None: [1.0, 4.0, 4.5],
+        "neighbours": [1.0, math.nextafter(1.0, 2)] * 50 + [math.nextafter(1.0, 2)],
+    }
+    frame = spark.createDataFrame([(k, v) for k, own in cases.items() for v in own], "k string, v double").repartition(5)
+    hot = hot_keys(frame, ["k"], 0, 100)
+    found = {x.k: x.m for x in exact_medians(frame, ["k"], {"m": "v"}, hot).collect()}
+    assert set(found) == set(cases)
+    for k, own in cases.items():
+        assert found[k] == middle(own) or math.isnan(found[k]) and math.isnan(middle(own)), k
+
+
+def test_medians_by_counting_need_no_window_and_no_sort_of_a_group(spark):
+    frame = spark.createDataFrame([("hot", i / 7) for i in range(500)], "k string, v double")
+    plan = exact_medians(frame, ["k"], {"m": "v"}, hot_keys(frame, ["k"], 50, 100))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
