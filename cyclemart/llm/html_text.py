@@ -14,6 +14,7 @@ article or main element, nor one inside it, unless the page has an article outsi
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -30,9 +31,19 @@ BLOCK = set(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 UNREAD = set(
-    "script style noscript template head title nav aside footer form button select textarea input iframe object embed "
-    "svg math canvas audio video dialog menu".split()
+    "script style noscript template head title nav aside footer form button select textarea input iframe embed "
+    "svg annotation annotation-xml canvas audio video dialog menu".split()
 )
+#: Elements that may stand in a head; any other ends it, as does text.
+IN_HEAD = set("head title base link meta style script noscript template".split())
+#: Elements that end an open one of their kind, and what bounds the search for it.
+ENDS_OPEN = {
+    "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Inside an article an id marks only these; elsewhere it is more often the target of a link.
+NAMED_BY_ID = set("div ul ol dl".split())
 CLOSED_BY_BLOCK = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 REGION = set("article main section div td body".split())
 UNREAD_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -71,37 +82,48 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, bool, bool, bool]] = []  # tag, unread, region, in article, named unread, doubtful
+        self.depth: Counter[str] = Counter()  # open elements by tag
         self.blocks: list[Block] = []
         self.current: Block | None = None
-        self.tags = self.regions = self.links = 0
+        self.tags = self.regions = 0
 
     def _state(self) -> tuple[bool, int, bool, bool, bool]:
         return self.open[-1][1:] if self.open else (False, 0, False, False, False)
 
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """Comments may end in ``--!>`` too."""
+        end = _COMMENT_END.search(self.rawdata, i + 2)
+        return end.end() if end else -1
+
     def finish(self) -> None:
         """Ends the page without the tag or comment in which it breaks off, which is what the parser still holds."""
         rest = self.rawdata
-        if self.cdata_elem is None and _TAG.match(rest):
-            comment = _COMMENT_END.search(rest, 4) if rest.startswith("<!--") else None
-            if comment:  # an ending that the parser does not know
-                self.rawdata = ""
-                self.feed(rest[comment.end():])
-                self.finish()
-                return
-            if rest.startswith("<!--") or ">" not in rest:
-                self.rawdata = ""
+        if self.cdata_elem is None and _TAG.match(rest) and (rest.startswith("<!--") or ">" not in rest):
+            self.rawdata = ""
         self.close()
 
+    def _cut(self, size: int) -> None:
+        """Leave only the first ``size`` open elements."""
+        for tag, *_ in self.open[size:]:
+            self.depth[tag] -= 1
+        del self.open[size:]
+
+    def _end_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self._cut(len(self.open) - 1)
+
     def _end_block(self) -> None:
         self.current = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCK:
             self._end_block()
-            while self.open and self.open[-1][0] in CLOSED_BY_BLOCK:  # an unclosed paragraph ends here
-                self.open.pop()
-            if any(t in CLOSED_BY_BLOCK for t, *_ in self.open):
+            if any(self.depth[t] for t in CLOSED_BY_BLOCK):  # an unclosed paragraph ends here
                 self._close_through(CLOSED_BY_BLOCK)
+        if tag in ENDS_OPEN:
+            self._end_open(*ENDS_OPEN[tag])
         self.tags += 1
         if tag == "br" and self.current is not None:
             self.current.parts.append(" ")
@@ -112,35 +134,48 @@ class _Blocks(HTMLParser):
         if tag in ("article", "main") and not in_article:  # names around an article are those of a layout, or of lists of others
             named, doubtful = False, named
         else:
-            named = named or _named(attrs, tag)
+            named = named or _named(attrs, tag, in_article)
         if tag in REGION and not in_article:
             self.regions += 1
             region = self.regions
         self.open.append((tag, unread, region, in_article or tag in ("article", "main"), named, doubtful))
-        self.links += tag == "a"
+        self.depth[tag] += 1
 
     def _close_through(self, tags: set[str]) -> None:
         """Ends an open paragraph with the inline elements left open in it, but no section around."""
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in tags:
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i][0] in BLOCK:
                 return
 
+    def _end_open(self, tags: set[str], bounds: set[str]) -> None:
+        """Ends an open list item or cell whose end tag was left out."""
+        if any(self.depth[t] for t in tags):
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in tags:
+                    self._cut(i)
+                    return
+                if self.open[i][0] in bounds:
+                    return
+
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self._end_block()
         self.tags += 1
+        if not self.depth[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
-                break
+                self._cut(i)
+                return
             if self.open[i][0] in REGION and tag not in BLOCK:
-                break
-        self.links = sum(t == "a" for t, *_ in self.open)
+                return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         unread, region, in_article, named, doubtful = self._state()
         if unread or named:
             return
@@ -152,7 +187,7 @@ class _Blocks(HTMLParser):
             self.current.tags += self.tags
             self.tags = 0
         self.current.parts.append(data)
-        if self.links:
+        if self.depth["a"]:
             self.current.linked += len(data)
 
 
@@ -167,12 +202,14 @@ def _marked(attrs: list, tag: str) -> bool:
     return any(name == "hidden" for name, _ in attrs)
 
 
-def _named(attrs: list, tag: str) -> bool:
-    """Whether a whole class or id name marks what is not the article."""
-    if tag in ("html", "body"):
+def _named(attrs: list, tag: str, in_article: bool) -> bool:
+    """Whether a whole class or id name marks what is not the article. Inside one, headings are never
+    marked, and a section's id (discussion, notices) names its subject."""
+    if tag in ("html", "body") or (in_article and tag in HEADINGS):
         return False
+    marks = ("class", "id") if not in_article or tag in NAMED_BY_ID else ("class",)
     for name, value in attrs:
-        if name in ("class", "id") and value:
+        if name in marks and value:
             for token in value.lower().split():
                 parts = {p for p in _PART.split(token) if p and not p.isdigit()}
                 if parts & UNREAD_NAMES and parts <= UNREAD_NAMES | BESIDE:

@@ -246,6 +246,36 @@ def test_main_text_of_a_full_page():
     assert main_text(PAGE) == "Head & line\nFirst paragraph here.\nShort.\nOne\nTwo\nLast <one> é x."
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><body><article><p>Text.</p></article>", "<html><head><title>T</title><article><p>Text.</article>",
+    "<head><meta charset=x><noscript><img src=x></noscript><script>1</script><p>Text.", "<title>T</title><head><base>Text.", "<html><head>\n<style>p</style>\n<main>Text.</main>",
+])
+def test_main_text_when_head_and_body_tags_are_left_out(page):
+    assert main_text(page) == "Text."
+
+
+@pytest.mark.parametrize("inner,text", [
+    ('<section id="discussion"><h2 id="cookies">Cookies</h2><p>We ate.</p></section>', "Cookies\nWe ate."),
+    ('<h2 class="related">Related work</h2><p id="notice">Note.</p>', "Related work\nNote."),
+    ("<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> done.", "Energy E=m done."),
+    ('<p>One.</p><div id="comments"><p>First!</p></div><div class="ad">Buy</div><p>Two.', "One.\nTwo."),
+    ("<ul><li>One<li>Two<ul><li>Deep</ul><li>Three</ul>", "One\nTwo\nDeep\nThree"), ("<dl><dt>A<dd>B<dt>C<dd>D</dl>", "A\nB\nC\nD"),
+    ("<table><tr><td>A<td>B<tr><td><table><tr><td>C</table><td>D</table>", "A\nB\nC\nD"),
+])
+def test_main_text_keeps_what_an_article_holds(inner, text):
+    assert main_text(f"<body><article>{inner}</article><footer>F</footer></body>") == text
+
+
+@pytest.mark.parametrize("tag", ["<li>x", "<div>x", "<a href=y>x", "<td>x", "<p><b>x", "<span>x</i>", "<!-- a --!>x", "<h2><a>x"])
+def test_main_text_is_linear_in_tags(tag):
+    import time
+
+    main_text(tag * 1000)
+    start = time.process_time()
+    assert main_text("<body>" + tag * 30_000).count("x") > 0
+    assert time.process_time() - start < 15
+
+
 def test_main_text_without_an_article():
     page = "<body><div class='sidebar'><p>Links</p></div><div><h2>Title</h2><p>" + "Long text. " * 30 + "</p><p>End.</p></div><div><a href=x>more</a></div></body>"
     assert main_text(page) == "Title\n" + " ".join(["Long text."] * 30) + "\nEnd."
