@@ -38,10 +38,8 @@ def extraction_times_query(spark, sf):
 
 
 LATEST = """
-SELECT subject_id, region, extraction_id, extracted_at FROM (
-  SELECT subject_id, region, extraction_id, max(extracted_at) AS extracted_at,
-    row_number() OVER (PARTITION BY subject_id, region ORDER BY max(extracted_at) DESC, extraction_id DESC) AS recency_rank
-  FROM feat GROUP BY subject_id, region, extraction_id) AS ranked WHERE recency_rank = 1"""
+SELECT subject_id, region, newest.id AS extraction_id, newest.at AS extracted_at
+FROM (SELECT subject_id, region, max({'at': extracted_at, 'id': extraction_id}) AS newest FROM feat GROUP BY ALL) AS maxima"""
 
 
 @query("latest_extraction", with_ctes(LATEST, "feat"))
@@ -249,9 +247,8 @@ def runs_with_checks(spark, sf):
 
 
 @query("orphan_trials", with_ctes("""
-SELECT t.subject_id, t.trial, t.load_condition FROM trial_metadata AS t
-LEFT JOIN (SELECT DISTINCT subject_id, trial FROM feat) AS f ON t.subject_id = f.subject_id AND t.trial = f.trial
-WHERE f.trial IS NULL""", "trial_metadata", "feat"))
+SELECT subject_id, trial, load_condition FROM trial_metadata
+WHERE (subject_id, trial) IN (SELECT subject_id, trial FROM trial_metadata EXCEPT SELECT subject_id, trial FROM feat)""", "trial_metadata", "feat"))
 def orphan_trials(spark, sf):
     return orphans(t.trials(spark, sf), t.fact(spark, sf)).select(*TRIAL_KEYS, "load_condition")
 

@@ -85,8 +85,8 @@ def multi_root_listing(spark, sf):
 CONTRACT = """
 SELECT DISTINCT subject_id, region, extraction_id, problem FROM (
   SELECT subject_id, region, extraction_id, unnest(CASE CAST(substr(subject_id, 2) AS INTEGER) % 3
-    WHEN 1 THEN ['column order differs from the contract']
-    WHEN 2 THEN ['missing columns is_burst', 'unexpected columns burst'] ELSE [] END) AS problem FROM tree) AS p"""
+    WHEN 1 THEN ['columns are in another order than agreed']
+    WHEN 2 THEN ['lacks is_burst', 'has besides the agreed columns burst'] ELSE [] END) AS problem FROM tree) AS p"""
 
 
 def _problems(heads: DataFrame) -> DataFrame:
@@ -304,7 +304,7 @@ files AS (
 )
 SELECT batch, CASE batch WHEN 0 THEN 'success' ELSE 'failed' END AS run_status, subject_id, region, extraction_id,
   CASE WHEN flaw = 0 OR (flaw = 2 AND batch = 1) THEN 'loaded' ELSE 'skipped' END AS status,
-  CASE WHEN flaw = 1 THEN 'column order' WHEN flaw = 2 AND batch = 0 THEN 'missing columns is_burst; unexpected columns burst' END AS reason,
+  CASE WHEN flaw = 1 THEN 'another order' WHEN flaw = 2 AND batch = 0 THEN 'has besides the agreed columns burst; lacks is_burst' END AS reason,
   CASE WHEN flaw = 0 OR (flaw = 2 AND batch = 1) THEN n END AS row_count,
   CASE WHEN flaw <> 1 THEN n END AS rows_in_lake
 FROM seen"""
@@ -336,7 +336,7 @@ def stream_arrivals(spark, sf):
     keys = ("subject_id", "region", "extraction_id")
     seen = ledger.read("source_file").join(runs, "run_id").select(
         F.substring("run_id", -6, 6).cast("int").alias("batch"), "run_status", *[identity[k].alias(k) for k in keys], "status",
-        F.when(F.col("reason").contains("column order"), "column order").otherwise(F.regexp_replace("reason", r"(^contract: |[^ ;]*\.csv: )", "")).alias("reason"),
+        F.when(F.col("reason").contains("another order"), "another order").otherwise(F.regexp_replace("reason", r"(^contract: |[^ ;]*\.csv: )", "")).alias("reason"),
         "row_count",
     )
     lake = read_lake(spark, f"{root}/lake").groupBy(*keys).agg(F.count("*").alias("rows_in_lake"))

@@ -91,10 +91,10 @@ def test_roots_named_twice_list_files_once(spark, tmp_path):
 
 CASES = {
     "good": (HEADER, [cycle_row(0, 0, "L", 0, 0.5)], set()),
-    "two": ("trial,channel_idx", ["1,2"], {"missing columns"}),
-    "extra": (HEADER + ",more", [cycle_row(0, 0, "L", 0, 0.5) + ",1"], {"unexpected columns more"}),
-    "swapped": (",".join(["channel_idx", "trial", *list(SOURCE_COLUMNS)[2:]]), [cycle_row(0, 0, "L", 0, 0.5)], {"column order differs"}),
-    "bare": (HEADER, [], {"fewer than 1 data rows"}),
+    "two": ("trial,channel_idx", ["1,2"], {"lacks"}),
+    "extra": (HEADER + ",more", [cycle_row(0, 0, "L", 0, 0.5) + ",1"], {"has besides the agreed columns more"}),
+    "swapped": (",".join(["channel_idx", "trial", *list(SOURCE_COLUMNS)[2:]]), [cycle_row(0, 0, "L", 0, 0.5)], {"another order"}),
+    "bare": (HEADER, [], {"1 rows are the least"}),
 }
 
 
@@ -113,7 +113,7 @@ def test_contract_problems(spark, tmp_path, by_scan):
     for subject, (_, _, wanted) in CASES.items():
         found = problems.get(subject, [])
         assert len(found) == len(wanted) and all(any(w in f for f in found) for w in wanted), (subject, found)
-    assert len(problems["none"]) == 1 and "file is empty" in problems["none"][0]
+    assert len(problems["none"]) == 1 and "there is nothing in it" in problems["none"][0]
 
 
 def test_every_null_spelling_reads_as_null(spark, tmp_path):
