@@ -3,7 +3,8 @@
 Every rule is a regular expression over host + path with literal tokens (runs of letters
 and digits) that a URL must have to match. How often the tokens occur in the URLs is counted,
 and each rule is filed under its rarest token. The tokens of a URL then fetch the few rules filed
-under them, and only those run their expression.
+under them, and only those run their expression. A rule without literal tokens is filed under
+the empty token, which every URL then has.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def _rule_table(df: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
     spark = df.sparkSession
     order = sorted(rules, key=lambda r: (r.weight, r.verdict == "block", r.name))
-    rows = [(i, r.pattern, list(r.tokens)) for i, r in enumerate(order)]
+    rows = [(i, r.pattern, list(r.tokens) or [""]) for i, r in enumerate(order)]
     return spark.createDataFrame(rows, "rank long, pattern string, tokens array<string>")
 
 
@@ -78,7 +79,10 @@ def filtered(pages: DataFrame, rules: tuple[UrlRule, ...], url: str = "url") ->
     pages = pages.withColumns({"host": host, "path": path}).drop("rule", "rule_verdict")
     if not rules:
         return pages.withColumns({"rule": F.lit(None).cast("string"), "rule_verdict": F.lit(None).cast("string")})
-    tokens = F.array_distinct(F.split(_lower(F.concat("host", "path")), "[^a-z0-9]+"))
+    tokens = F.split(_lower(F.concat("host", "path")), "[^a-z0-9]+")
+    if not all(r.tokens for r in rules):
+        tokens = F.concat(tokens, F.array(F.lit("")))
+    tokens = F.array_distinct(tokens)
     rows = pages.withColumn("_row", F.monotonically_increasing_id()).withColumn("_token", F.explode(tokens))
     table = _rule_table(pages, rules)
     small = sum(len(r.pattern) + sum(map(len, r.tokens)) + 64 for r in rules) <= BROADCAST_BYTES

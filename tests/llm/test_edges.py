@@ -1,5 +1,7 @@
 """Odd rows, empty tables and planted cases for every operator."""
 
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -17,7 +19,7 @@ from cyclemart.llm.preferences import preference_pairs  # noqa: E402
 from cyclemart.llm.quality_rules import quality_rules  # noqa: E402
 from cyclemart.llm.ring import Ring, assign, sharded  # noqa: E402
 from cyclemart.llm.token_counts import Unigram, token_counts, trie_counts  # noqa: E402
-from cyclemart.llm.url_filters import filtered, host_rule  # noqa: E402
+from cyclemart.llm.url_filters import UrlRule, filtered, host_rule  # noqa: E402
 from tests.llm.helpers import empty_documents, odd_documents, prose, words  # noqa: E402
 
 
@@ -418,3 +420,13 @@ def test_pipeline_stages_on_odd_documents(spark, tmp_path):
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     assert ids <= {5, 6, 8, None} and not ids & {7, 11, 12}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_rules_without_literal_tokens_are_fetched_for_every_url(spark):
+    rules = (UrlRule("ads", "block", "/ads", (), 4), UrlRule("deep", "block", "^[^/]*(/[^/]*){4}", (), 5), host_rule("allow", "ok.com", "/"), host_rule("block", "--", "/"))
+    urls = [None, "", "http://x.com/ads", "http://x.com/a", "http://ok.com/ads", "http://y.org/1/2/3/4", "no scheme/ads", "http://--/x", "http://ads.com/"]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    for asked in (rules, rules[:1], rules[2:]):
+        for r in filtered(frame, asked).collect():
+            fitting = [(x.weight, x.verdict == "block", x.name) for x in asked if re.search(x.pattern, r.host + r.path)]
+            assert r.rule == (max(fitting)[2] if fitting else None), (r, asked)
