@@ -30,7 +30,7 @@ class HotKeys:
     broadcastable: bool
 
     def _side(self) -> DataFrame:
-        side = self.table.select(*[F.col(key).alias(f"_hot_{key}") for key in self.keys], "rows")
+        side = self.table.select(*[F.col(key).alias(f"_hot_{key}") for key in self.keys], F.col("rows").alias("_hot_rows"))
         return F.broadcast(side) if self.broadcastable else side
 
     def _match(self) -> Column:
@@ -39,15 +39,17 @@ class HotKeys:
             condition = condition & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
         return condition
 
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(hot rows, other rows) of ``df``; NULL keys are keys too."""
-        side = self._side()
-        return df.join(side, self._match(), "left_semi"), df.join(side, self._match(), "left_anti")
+    def marked(self, df: DataFrame) -> DataFrame:
+        """``df`` written once, with ``_rows``, the row count of a hot row's key (NULL in other rows), and ``_id``, a number
+        that no other row has. Hot rows lie in a folder of their own, so either kind is read without the other."""
+        joined = df.join(self._side(), self._match(), "left")
+        numbered = joined.select(*df.columns, F.col("_hot_rows").alias("_rows"), F.monotonically_increasing_id().alias("_id"))
+        return materialise(numbered.withColumn("_hot", F.col("_rows").isNotNull()), "marked", by=("_hot",))
 
-    def attach(self, df: DataFrame, column: str) -> DataFrame:
-        """Add each row's key count as ``column`` (rows of other keys drop out)."""
-        joined = df.join(self._side(), self._match(), "inner")
-        return joined.select(*df.columns, F.col("rows").alias(column))
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(hot rows, other rows) of ``df``, which is computed once; NULL keys are keys too."""
+        marked = self.marked(df)
+        return marked.filter("_hot").select(*df.columns), marked.filter("NOT _hot").select(*df.columns)
 
 
 def hot_keys(
@@ -61,10 +63,11 @@ def hot_keys(
     if known_rows is not None and known_rows <= limit:
         return None
     counts = df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
-    n_hot = counts.count()
+    found = materialise(counts, "hot-keys")  # first, so that ``df`` is computed once
+    n_hot = found.count()
     if n_hot == 0:
         return None
-    return HotKeys(tuple(keys), materialise(counts, "hot-keys"), n_hot <= broadcast_rows)
+    return HotKeys(tuple(keys), found, n_hot <= broadcast_rows)
 
 
 def _nulls_last(order: Sequence[str]) -> list[Column]:
@@ -79,36 +82,36 @@ def number_rows(
     total: str | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add the 1-based position of each row within its key, and the key's row count.
+    """Add the 1-based position (a long) of each row within its key, and the key's row count.
 
+    With hot keys ``df`` is computed once: its rows are marked and written, and only the hot ones are placed by range.
     Sort keys are ascending with NULLs last; rows equal on all of them get
     distinct positions in any order.
     """
     group = Window.partitionBy(*keys)
-    columns = {index: F.row_number().over(group.orderBy(*_nulls_last(order)))}
+    columns = {index: F.row_number().over(group.orderBy(*_nulls_last(order))).cast("long")}
     if total:
         columns[total] = F.count("*").over(group)
     if hot is None:
         return df.withColumns(columns)
-    hot_rows, other_rows = hot.split(df)
-    numbered = _number_rows_by_range(hot_rows, keys, order, index)
+    marked, names = hot.marked(df), [*df.columns, *columns]
+    own = marked.filter("_hot").drop("_hot")
+    numbered = _number_rows_by_range(own, keys, order, index)
     if total:
-        numbered = hot.attach(numbered, total)
-    return other_rows.withColumns(columns).unionByName(numbered)
+        numbered = numbered.withColumn(total, F.col("_rows"))
+    return marked.filter("NOT _hot").withColumns(columns).select(*names).unionByName(numbered.select(*names))
 
 
-def _number_rows_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], index: str) -> DataFrame:
-    """Positions of rows whose keys are too large for one task.
+def _number_rows_by_range(rows: DataFrame, keys: Sequence[str], order: Sequence[str], index: str) -> DataFrame:
+    """Positions of written rows (with their ``_id``) whose keys are too large for one task.
 
     The rows are range-partitioned on (key, order, row id), so one key spreads
     over many partitions and equal rows spread too. Each partition numbers its
     own part; the parts before it, counted per (key, partition), give the offset.
-    The row id and the partition number are written down before use, because
-    neither is stable when a task runs again.
+    The partition number is written down before use, because it is not stable
+    when a task runs again.
     """
-    stable = materialise(df, "hot-rows")
-    with_id = materialise(stable.withColumn("_id", F.monotonically_increasing_id()), "hot-ids")
-    by_range = with_id.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *_nulls_last(order), F.col("_id"))
+    by_range = rows.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys], *_nulls_last(order), F.col("_id"))
     placed = materialise(by_range.withColumn("_part", F.spark_partition_id()), "hot-ranges")
 
     parts = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
@@ -118,7 +121,7 @@ def _number_rows_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[st
     local = Window.partitionBy(*keys, "_part").orderBy(*_nulls_last(order), "_id")
     ranked = placed.withColumn("_local", F.row_number().over(local))
     return join_on_keys(ranked, offsets, [*keys, "_part"], "inner", ["_before"]).select(
-        *df.columns, (F.col("_before") + F.col("_local")).cast("int").alias(index)
+        *rows.columns, (F.col("_before") + F.col("_local")).alias(index)
     )
 
 

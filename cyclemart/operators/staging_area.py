@@ -47,9 +47,9 @@ def staging(spark: SparkSession) -> Iterator[str]:
         delete(spark, root)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and read it back: lost executors re-read files instead of
-    recomputing the chain, and later joins plan on its true size."""
+    recomputing the chain, and later joins plan on its true size. Rows are put in a folder for each value of ``by``."""
     path = new_location(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cyclemart.contract import SOURCE_COLUMNS
 from cyclemart.functions import cells, naming
+from cyclemart.operators.recency import latest_extraction
 from cyclemart.operators.skew import hot_keys
 from cyclemart.operators.staging_area import new_location
 from cyclemart.plans.analysis import run_analysis
@@ -18,7 +19,7 @@ from cyclemart.plans.warehouse import Warehouse
 from cyclemart.settings import Paths
 from cyclemart.sources import extracts, files
 from cyclemart.sources.features import scan_features
-from cyclemart.sources.lake import loaded_rows, read_lake, write_lake
+from cyclemart.sources.lake import lake_folders, loaded_rows, read_lake, read_matching, write_lake
 from cyclemart.sources.ledger import Ledger
 from cyclemart.sources.trials import normalise_trial_info, reload_trials
 from cyclemart.streaming.arrivals import watch
@@ -191,6 +192,22 @@ def loaded_row_counts(spark, sf):
     return counted.groupBy(*keys).agg(F.sum("row_count").alias("row_count"))
 
 
+@query("newest_partitions", with_ctes("""
+SELECT subject_id, region, extraction_id, strptime(extraction_id, '%Y%m%d_%H%M%S') AS extracted_at, count(*) AS n_rows,
+  CAST(sum(sample_last_trough) AS BIGINT) AS landmarks
+FROM tree AS t WHERE NOT EXISTS (
+  SELECT * FROM (SELECT DISTINCT subject_id, region, extraction_id FROM tree) AS later
+  WHERE later.subject_id = t.subject_id AND later.region = t.region AND later.extraction_id > t.extraction_id)
+GROUP BY ALL""", "tree"))
+def newest_partitions(spark, sf):
+    """Newest extractions by the lake's folder names, and what a scan of only their folders finds."""
+    folders = lake_folders(spark, _lake(spark, sf))
+    current = read_matching(spark, _lake(spark, sf), folders, latest_extraction(folders))
+    return current.groupBy("subject_id", "region", "extraction_id", "extracted_at").agg(
+        F.count("*").alias("n_rows"), F.sum("sample_last_trough").alias("landmarks")
+    )
+
+
 @query("incremental_lake", with_ctes(BY_PARTITION.format(run="'stream'"), "tree"))
 def incremental_lake(spark, sf):
     """The same files taken as a stream in micro-batches, each replacing its partitions."""

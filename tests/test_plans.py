@@ -13,7 +13,7 @@ from cyclemart.plans.fact import build_fact, signal_rollup
 from cyclemart.plans.marts import symmetry_histogram
 from cyclemart.settings import Settings
 from cyclemart.sources.features import scan_features
-from cyclemart.sources.lake import read_lake, write_lake
+from cyclemart.sources.lake import lake_folders, loaded_rows, read_lake, read_matching, write_lake
 from tests.fixtures import recording
 from tests.test_skew import cycles, metadata
 
@@ -60,6 +60,33 @@ def test_superseded_extractions_are_pruned_and_columns_too(spark, tmp_path, caps
     assert keep_latest(lake, latest, 0).count() == 72
 
 
+def test_newest_extractions_come_from_folder_names(spark, tmp_path, capsys):
+    """No file is opened to find them, and none of a superseded extraction to read them, whatever their number."""
+    root = str(tmp_path / "lake")
+    assert lake_folders(spark, root).count() == 0
+    lake_of(spark, tmp_path)
+    for old in (tmp_path / "lake").rglob("extraction_id=20250601_091500/*"):
+        old.write_bytes(b"not a table") if old.suffix == ".parquet" else old.unlink()
+    folders = lake_folders(spark, root)
+    assert "ColumnarToRow" not in plan(latest_extraction(folders), capsys)  # a listing, no table
+    latest = materialise(latest_extraction(folders), "latest")
+    assert [(r.subject_id, r.region, r.extraction_id, str(r.extracted_at)) for r in latest.collect()] == [("P1", "HP", "20250701_091500", "2025-07-01 09:15:00")]
+    current = read_matching(spark, root, folders, latest)
+    assert current.schema == LAKE_SCHEMA and current.count() == 72
+    assert all("extraction_id=20250701_091500" in f for f in current.inputFiles())
+    assert read_matching(spark, root, folders, latest.filter("region = 'none'")).count() == 0
+
+
+def test_loaded_rows_are_counted_in_the_folders_of_the_run(spark, tmp_path):
+    lake_of(spark, tmp_path)
+    for old in (tmp_path / "lake").rglob("extraction_id=20250601_091500/*.parquet"):
+        old.write_bytes(b"not a table")
+    root = str(tmp_path / "lake")
+    files = spark.createDataFrame([("P1", "HP", "20250701_091500")], "subject_id string, region string, extraction_id string")
+    found = loaded_rows(read_matching(spark, root, lake_folders(spark, root), files), "r").collect()
+    assert [(r.source_file.split("_")[-2], r.row_count) for r in found] == [("20250701", 72)]
+
+
 def test_latest_extraction_needs_no_window(spark, tmp_path, capsys):
     assert "Window" not in tree(latest_extraction(lake_of(spark, tmp_path)), capsys)
 

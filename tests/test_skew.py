@@ -51,6 +51,22 @@ def test_numbering_of_hot_keys(spark, broadcast_rows):
     assert split == plain
 
 
+def test_hot_numbering_computes_its_input_twice(spark):
+    """Once to count the keys and once to number all rows, however many keys are hot."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = skewed(spark).repartition(4).mapInPandas(watched, "id int, k string, v double, o int")
+    numbered = number_rows(df, ["k"], ["o", "id"], "n", "total", hot_keys(df, ["k"], 100, 100))
+    assert numbered.count() == 3000 and seen.value == 2 * 3000
+    assert dict(numbered.dtypes)["n"] == "bigint"
+    assert dict(number_rows(df, ["k"], ["id"], "n").dtypes)["n"] == "bigint"
+
+
 def test_numbering_of_identical_copies(spark):
     """Copies have no order of their own; each still gets its own position."""
     df = spark.range(4000).select(F.lit("k").alias("k"), F.lit(1).alias("o"))
