@@ -19,17 +19,34 @@ from cyclemart.contract import FEATURE_COLUMNS, SOURCE_COLUMNS
 from cyclemart.functions.recordings import epoch_bounds, hemisphere, region_code, session_code, subject_code
 from cyclemart.operators.intervals import points_in_windows
 from cyclemart.operators.skew import hot_keys, number_rows
-from cyclemart.settings import Scale, Signal
+from cyclemart.settings import BurstThresholds, Scale, Signal
 
 
 class SamplingRateError(ValueError):
     """A recording was sampled at another rate than the settings say."""
 
 
-def check_sampling_rate(recordings: DataFrame, fs: int) -> None:
-    wrong = recordings.filter(F.round("rate") != fs).select("session_id", "rate").first()
+def measured_rates(samples: DataFrame, session: str, micros: str) -> DataFrame:
+    """Samples a second of each recording, by the microseconds of its first and last sample; NULL where these are one."""
+    spread = F.nullif(F.max(micros) - F.min(micros), F.lit(0).cast("long"))
+    rate = F.lit(1e6) * (F.count("*") - 1) / spread
+    return samples.groupBy(F.col(session).cast("string").alias("session_id")).agg(rate.alias("rate"), F.count("*").alias("n_samples"))
+
+
+def refused_recordings(recordings: DataFrame, fs: float) -> DataFrame:
+    """Recordings (``session_id``, ``rate``) whose rate is unknown or, in whole samples, another than the settings say, with the reason."""
+    wrong = recordings.filter(F.col("rate").isNull() | (F.round("rate") != fs))
+    reason = F.when(F.col("rate").isNull(), F.lit("rate unknown")).otherwise(
+        F.concat(F.lit("sampled at "), F.round("rate").cast("long").cast("string"), F.lit(f" Hz, settings say {fs:g} Hz"))
+    )
+    return wrong.withColumn("reason", reason)
+
+
+def check_sampling_rate(recordings: DataFrame, fs: float) -> None:
+    """Raise for the first of the refused recordings."""
+    wrong = refused_recordings(recordings, fs).orderBy("session_id").select("session_id", "reason").first()
     if wrong is not None:
-        raise SamplingRateError(f"{wrong['session_id']} is sampled at {wrong['rate']} Hz, settings say {fs} Hz")
+        raise SamplingRateError(f"{wrong['session_id']}: {wrong['reason']}")
 
 
 def identify_recordings(recordings: DataFrame) -> DataFrame:
@@ -103,6 +120,7 @@ FEATURE_ROWS = T.StructType([
 ])
 
 FeatureFunction = Callable[[list[float]], pd.DataFrame]
+BatchFunction = Callable[[list[list[float]], Signal, BurstThresholds], pd.DataFrame]
 
 
 def feature_rows(epoch_table: DataFrame, function: FeatureFunction) -> DataFrame:
@@ -112,33 +130,59 @@ def feature_rows(epoch_table: DataFrame, function: FeatureFunction) -> DataFrame
     columns, one row per cycle. A failing or empty signal gives one row with
     ``error`` set and no features.
     """
+    def each(epochs: list, signal: Signal, thresholds: BurstThresholds) -> pd.DataFrame:
+        frames = []
+        for number, one in enumerate(epochs):
+            try:
+                frames.append(function(one).assign(epoch=number))
+            except Exception as failure:  # any failure of the caller's function is recorded
+                frames.append(_failed(number, failure))
+        return pd.concat(frames, ignore_index=True)
+
+    return batch_feature_rows(epoch_table, each, Signal(), BurstThresholds())
+
+
+def batch_feature_rows(epoch_table: DataFrame, function: BatchFunction, signal: Signal, thresholds: BurstThresholds) -> DataFrame:
+    """Apply a caller's feature function to the finite epochs, a batch at a time, with the settings it works by.
+
+    The function takes the signals of a batch, the recording's settings (rate and band) and the burst thresholds. It returns
+    any of the feature columns, one row per cycle, with ``epoch``, the place of the cycle's signal in the batch (and may set
+    ``error``). An epoch without rows gives one row with ``error`` set. Where a batch fails its epochs are tried one by one,
+    so only those that fail alone are recorded as failed.
+    """
     identity = {"session_id": "session_id", "region": "region", "trial": "trial",
                 "channel_idx": "column_idx", "channel_label": "channel_label"}
 
+    def found(epochs: list) -> pd.DataFrame:
+        try:
+            return function(epochs, signal, thresholds)
+        except Exception as failure:  # any failure of the caller's function is recorded
+            if len(epochs) == 1:
+                return _failed(0, failure)
+        return pd.concat([found([one]).assign(epoch=number) for number, one in enumerate(epochs)], ignore_index=True)
+
     def frames(batches):
         for batch in batches:
-            found, messages = [], []
-            for signal in batch["signal"]:
-                try:
-                    part = function(signal)
-                    message = None if len(part) else "no cycles"
-                except Exception as failure:  # any failure of the caller's function is recorded
-                    part, message = None, f"{type(failure).__name__}: {failure}"
-                found.append(part if message is None else pd.DataFrame(index=[0]))
-                messages.append(message)
-            if not found:
+            if not len(batch):
                 continue
-            times = [len(part) for part in found]
-            out = pd.concat(found, ignore_index=True).reindex(columns=list(FEATURE_COLUMNS))
+            rows = found(list(batch["signal"])).reindex(columns=[*FEATURE_COLUMNS, "epoch", "error"])
+            silent = sorted(set(range(len(batch))) - set(rows["epoch"]))
+            out = pd.concat([rows.astype({"error": "object"}), pd.DataFrame({"epoch": silent, "error": "no cycles"})], ignore_index=True)
+            out = out.sort_values("epoch", kind="stable")
+            place = out["epoch"].to_numpy(dtype="int64")
             for name, source in identity.items():
-                out[name] = batch[source].repeat(times).to_numpy()
-            out["error"] = pd.Series(messages, dtype="object").repeat(times).to_numpy()
+                out[name] = batch[source].to_numpy()[place]
+            out["error"] = out["error"].astype("object").where(out["error"].notna(), None)
             yield _nullable(out[FEATURE_ROWS.names])
 
     columns = ["session_id", "region", "trial", "column_idx", "channel_label", "signal"]
     return epoch_table.filter("finite").select(*columns).mapInPandas(frames, FEATURE_ROWS)
 
 
+def _failed(epoch: int, failure: Exception) -> pd.DataFrame:
+    return pd.DataFrame({"epoch": [epoch], "error": [f"{type(failure).__name__}: {failure}"]})
+
+
 def _nullable(frame: pd.DataFrame) -> pd.DataFrame:
     kinds = {T.IntegerType(): "Int32", T.LongType(): "Int64", T.DoubleType(): "Float64", T.BooleanType(): "boolean"}
     return frame.astype({f.name: kinds.get(f.dataType, "object") for f in FEATURE_ROWS.fields})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cyclemart.functions.recordings import hemisphere, region_code, session_code, subject_code
 from cyclemart.operators import signals
+from cyclemart.settings import BurstThresholds
 from showcase import tables as t
 from showcase.registry import query, rounded
 from showcase.sql import with_ctes
@@ -120,6 +121,37 @@ def signal_features(spark, sf):
     return rounded(_features(spark, sf).select(*shown))
 
 
+LOOSE, STRICT = BurstThresholds(), BurstThresholds(amp_fraction_threshold=0.5, min_n_cycles=20)
+
+
+def swings(epochs, signal, thresholds) -> pd.DataFrame:
+    """A small feature function of a batch: an epoch is a burst if it is long and its swing is wide enough."""
+    frame = pd.DataFrame({
+        "epoch": range(len(epochs)), "period": [len(x) / signal.fs for x in epochs], "volt_amp": [max(x) - min(x) for x in epochs],
+    })
+    long_enough = frame["period"] * signal.fs >= thresholds.min_n_cycles
+    return frame.assign(is_burst=(frame["volt_amp"] > thresholds.amp_fraction_threshold) & long_enough)
+
+
+def _bursts(label: str, swing: float, least: int) -> str:
+    return f"""SELECT '{label}' AS thresholds, session_id, region, count(*) AS n_epochs,
+  count(*) FILTER (WHERE top - bottom > {swing} AND n_samples >= {least}) AS n_bursts, round(sum(n_samples / 10e0), 9) AS seconds,
+  count(*) FILTER (WHERE n_samples < 3) AS failed FROM epochs WHERE finite GROUP BY ALL"""
+
+
+@query("burst_features", with_ctes(f"{_bursts('loose', '0.2e0', 3)} UNION ALL {_bursts('strict', '0.5e0', 20)}", "epochs"))
+def burst_features(spark, sf):
+    """The feature hook with its settings: other thresholds, other bursts."""
+    parts = []
+    for label, thresholds in (("loose", LOOSE), ("strict", STRICT)):
+        rows = signals.batch_feature_rows(_epochs(spark, sf), swings, t.RECORDING, thresholds)
+        parts.append(rows.groupBy(F.lit(label).alias("thresholds"), "session_id", "region").agg(
+            F.count("*").alias("n_epochs"), F.count_if("is_burst").alias("n_bursts"), F.sum("period").alias("seconds"),
+            F.count("error").alias("failed"),
+        ))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
 @query("recording_trial_metadata", with_ctes("""
 SELECT session_id, 'P' || substr(session_id, 4) AS subject_id, trial, load AS load_condition, correct FROM rec_trials""", "rec_trials"))
 def recording_trial_metadata(spark, sf):
@@ -134,6 +166,26 @@ def sampling_rates(spark, sf):
     return found.select("session_id", "rate", "n_samples")
 
 
+@query("refused_recordings", """
+WITH rates AS (
+  SELECT CAST(user_id AS VARCHAR) AS session_id, count(*) AS n_samples,
+    CASE WHEN max(ts) > min(ts) THEN 86400e6 * (count(*) - 1) / (epoch_us(max(ts)) - epoch_us(min(ts))) END AS rate FROM events GROUP BY user_id
+), wrong AS (SELECT * FROM rates WHERE rate IS NULL OR round(rate) <> 2)
+SELECT session_id, n_samples, round(rate, 9) AS rate, coalesce('sampled at ' || CAST(CAST(round(rate) AS BIGINT) AS VARCHAR) || ' Hz, settings say 2 Hz', 'rate unknown') AS reason,
+  (SELECT min(session_id) FROM wrong) AS first_refused FROM wrong""")
+def refused_recordings(spark, sf):
+    """Users as recordings and days as seconds: those whose events do not come at two a day are refused."""
+    micros = (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(86400.0)).alias("micros")
+    found = signals.measured_rates(t.read(spark, sf, "events").select("user_id", micros), "user_id", "micros")
+    found = t.once(spark, sf, "rates", lambda: found)
+    try:
+        signals.check_sampling_rate(found, 2)
+        first = None
+    except signals.SamplingRateError as refused:
+        first = str(refused).partition(":")[0]
+    return rounded(signals.refused_recordings(found, 2).withColumn("first_refused", F.lit(first).cast("string")))
+
+
 @query("extraction_summary", with_ctes("""
 SELECT r.session_id, 'P' || substr(r.session_id, 4) AS subject_id, '1' AS session_code,
   (SELECT count(DISTINCT region) FROM channels AS c WHERE c.session_id = r.session_id) AS regions,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cyclemart.functions.recordings import hemisphere, region_code, subject_code
 from cyclemart.operators import signals
 from cyclemart.operators.intervals import points_in_windows
-from cyclemart.settings import Signal
+from cyclemart.settings import BurstThresholds, Signal
 from cyclemart.sources.trials import normalise_trial_info, resolve_label
 
 SIGNAL = Signal(fs=400)
@@ -89,6 +89,36 @@ def test_empty_feature_frames_count_as_skipped(spark):
     assert {r.error for r in rows.collect()} == {"no cycles"}
 
 
+def test_batch_features_see_their_settings_and_fail_one_by_one(spark):
+    recordings, electrodes, trials, samples = tables(spark)
+    found = signals.epochs(samples, signals.trial_windows(trials, recordings, SIGNAL), signals.channel_table(electrodes), SIGNAL)
+
+    def bursts(epochs, signal, thresholds):
+        if any(x[0] == 0.0 for x in epochs):
+            raise RuntimeError("no rise")
+        kept = [k for k, x in enumerate(epochs) if x[0] > 300.0]
+        return pd.DataFrame({"epoch": [k for k in kept for _ in range(2)], "period": float(signal.fs),
+                             "is_burst": [x / 10 > thresholds.amp_fraction_threshold for _ in kept for x in (1, 5)]})
+
+    for limit, expected in ((0.2, 2), (0.05, 4), (0.9, 0)):
+        rows = signals.batch_feature_rows(found.coalesce(1), bursts, SIGNAL, BurstThresholds(amp_fraction_threshold=limit)).collect()
+        assert sum(r.is_burst or False for r in rows) == expected and {r.period for r in rows if r.error is None} == {400.0}
+        assert sorted(r.error or "" for r in rows) == [""] * 4 + ["RuntimeError: no rise"] * 3 + ["no cycles"] * 3
+        assert {(r.session_id, r.trial) for r in rows if r.error == "no cycles"} == {("s1", 0)}
+    assert signals.batch_feature_rows(found.filter("trial > 50"), bursts, SIGNAL, BurstThresholds()).count() == 0
+
+
+def test_measured_rates(spark):
+    at = [("a", 0), ("a", 2500), ("a", 5000), ("b", 7), ("c", 0), ("c", 2000), ("d", 3), ("d", 3)]
+    found = {r.session_id: (r.rate, r.n_samples) for r in signals.measured_rates(spark.createDataFrame(at, "s string, us long"), "s", "us").collect()}
+    assert found == {"a": (400.0, 3), "b": (None, 1), "c": (500.0, 2), "d": (None, 2)}
+    rates = spark.createDataFrame([(k, *v) for k, v in found.items()], "session_id string, rate double, n_samples long")
+    refused = {r.session_id: r.reason for r in signals.refused_recordings(rates, 400).collect()}
+    assert refused == {"b": "rate unknown", "c": "sampled at 500 Hz, settings say 400 Hz", "d": "rate unknown"}
+    with pytest.raises(signals.SamplingRateError, match="^b: rate unknown"):
+        signals.check_sampling_rate(rates, 400)
+
+
 def test_sampling_rate(spark):
     recordings, *_ = tables(spark)
     signals.check_sampling_rate(recordings, 400)
