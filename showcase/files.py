@@ -13,14 +13,15 @@ from cyclemart.functions import cells, naming
 from cyclemart.operators.recency import latest_extraction
 from cyclemart.operators.skew import hot_keys
 from cyclemart.operators.staging_area import new_location
+from cyclemart.plans import marts
 from cyclemart.plans.analysis import run_analysis
-from cyclemart.plans.quality import run_checks
-from cyclemart.plans.warehouse import Warehouse
-from cyclemart.settings import Paths
+from cyclemart.plans.quality import blocking, run_checks
+from cyclemart.plans.warehouse import ContractError, Warehouse
+from cyclemart.settings import Paths, Settings
 from cyclemart.sources import extracts, files
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import lake_folders, loaded_rows, read_lake, read_matching, write_lake
-from cyclemart.sources.ledger import Ledger
+from cyclemart.sources.ledger import Ledger, stack
 from cyclemart.sources.trials import normalise_trial_info, reload_trials
 from cyclemart.streaming.arrivals import watch
 from showcase import tables as t
@@ -327,18 +328,17 @@ SELECT batch, CASE batch WHEN 0 THEN 'success' ELSE 'failed' END AS run_status,
 FROM seen"""
 
 
-@query("stream_arrivals", with_ctes("SELECT * FROM (WITH " + ARRIVED.strip() + ") AS arrived", "tree"))
-def stream_arrivals(spark, sf):
-    """A stream over flawed files: what the ledger says of each file and batch, and the rows the lake has of it.
+def _arrival_settings(root: str) -> Settings:
+    names = ("source_root", "trial_metadata", "lake", "tables", "ledger", "exports")
+    settings = replace(t.SMALL_SETTINGS, paths=Paths(**{n: f"{root}/{n}" for n in names}), quality=replace(t.SETTINGS.quality, max_null_fraction=-1.0))
+    return replace(settings, analysis=replace(settings.analysis, n_permutations=1000, n_bootstrap=200))
 
-    The first batch is published whatever the checks say, the second meets the gate and is blocked.
-    """
+
+def _arrivals(spark, sf) -> str:
+    """Where a stream has taken flawed files in two batches."""
     def build() -> str:
         root = new_location(spark, "arrivals")
-        names = ("source_root", "trial_metadata", "lake", "tables", "ledger", "exports")
-        settings = replace(t.SMALL_SETTINGS, paths=Paths(**{n: f"{root}/{n}" for n in names}), quality=replace(t.SETTINGS.quality, max_null_fraction=-1.0))
-        settings = replace(settings, analysis=replace(settings.analysis, n_permutations=1000, n_bootstrap=200))
-        warehouse = Warehouse(spark, settings)
+        warehouse = Warehouse(spark, _arrival_settings(root))
         t.contract_files(spark, t.flawed_tree(spark, sf), f"{root}/source_root", lambda year, third: third > 0 or year != 1998)
         t.trial_files(spark, sf, f"{root}/trial_metadata")
         watch(warehouse, f"{root}/state", no_fail=True).awaitTermination()
@@ -346,7 +346,16 @@ def stream_arrivals(spark, sf):
         watch(warehouse, f"{root}/state").awaitTermination()
         return root
 
-    root = t.once(spark, sf, "arrivals", build)
+    return t.once(spark, sf, "arrivals", build)
+
+
+@query("stream_arrivals", with_ctes("SELECT * FROM (WITH " + ARRIVED.strip() + ") AS arrived", "tree"))
+def stream_arrivals(spark, sf):
+    """A stream over flawed files: what the ledger says of each file and batch, and the rows the lake has of it.
+
+    The first batch is published whatever the checks say, the second meets the gate and is blocked.
+    """
+    root = _arrivals(spark, sf)
     ledger = Ledger(spark, f"{root}/ledger")
     runs = ledger.read("pipeline_run").select("run_id", F.col("status").alias("run_status"))
     identity = naming.file_identity(files.base_name(F.col("source_path")))
@@ -379,6 +388,103 @@ def extract_round_trip(spark, sf):
     return rounded(extracts.lenient(text, kinds))
 
 
+# What names a row of each extract, as Spark and as SQL expression.
+ROW_NAMES = {
+    "channel_paired_asym": ("subject_id", "region", "channel_label"),
+    "channel_load_asym": ("subject_id", "region", "channel_label", "load_condition"),
+    "cycle_qc_distribution": ("metric", "region", "load_condition", "is_burst", "CAST(round(CAST(bin_start AS DOUBLE) * 50) AS BIGINT)"),
+    "subject_coverage": ("subject_id", "region"),
+    "run_health": ("run_id",),
+    "test_results": ("metric", "test"),
+    "dq_results": ("substr(CAST(checked_at AS STRING), 1, 10)", "check_name"),
+}
+
+
+def _in_order(name: str, relation: str, order: str) -> str:
+    cells = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in ROW_NAMES[name]).replace("AS STRING", "AS VARCHAR")
+    return f"SELECT '{name}' AS extract, row_number() OVER (ORDER BY {order}) AS position, {cells} AS row_name FROM {relation}"
+
+
+CHANNEL = "subject_id NULLS LAST, region NULLS LAST, channel_label NULLS LAST"
+ORDERED = " UNION ALL ".join((
+    _in_order("channel_paired_asym", "paired", CHANNEL),
+    _in_order("channel_load_asym", "channel_load", CHANNEL + ", load_condition NULLS LAST"),
+    _in_order("cycle_qc_distribution", "histogram", "metric NULLS LAST, region NULLS LAST, load_condition NULLS LAST, is_burst NULLS LAST, bin_start NULLS LAST"),
+    _in_order("subject_coverage", "coverage", "subject_id NULLS LAST, region NULLS LAST"),
+    _in_order("run_health", "run_health", "started_at DESC NULLS LAST"),
+    _in_order("test_results", "suite", "metric NULLS LAST, test NULLS LAST"),
+    _in_order("dq_results", "dq_results", "checked_at DESC NULLS LAST, check_name NULLS LAST"),
+))
+
+
+@query("extract_order", with_ctes(ORDERED, "paired", "channel_load", "histogram", "coverage", "run_health", "suite", "dq_results"))
+def extract_order(spark, sf):
+    """All seven extracts as published: which row lies where. Rows equal in all that they are sorted by have one name here."""
+    def build() -> str:
+        folder = new_location(spark, "all-exports")
+        relations = {
+            "channel_paired_asym": t.paired(spark, sf), "channel_load_asym": t.load(spark, sf),
+            "cycle_qc_distribution": marts.symmetry_histogram(t.fact(spark, sf)),
+            "subject_coverage": marts.subject_coverage(t.rollup(spark, sf), t.paired(spark, sf)),
+            "run_health": marts.run_health(t.runs(spark, sf), t.source_files(spark, sf), t.dq_results(spark, sf)),
+            "test_results": run_analysis(t.paired(spark, sf), t.SETTINGS.analysis), "dq_results": t.dq_results(spark, sf),
+        }
+        for name, relation in relations.items():
+            extracts.write_extract(relation, name, "run", folder)
+        return folder
+
+    folder = t.once(spark, sf, "all-exports", build)
+    found = []
+    for name, parts in ROW_NAMES.items():
+        text = F.concat_ws("|", *[F.coalesce(F.expr(part).cast("string"), F.lit("")) for part in parts])
+        rows = extracts.read_extract_in_order(spark, folder, name)
+        found.append(rows.select(F.lit(name).alias("extract"), "position", text.alias("row_name")))
+    return stack(found)
+
+
+# After the two batches of `stream_arrivals`, one published and one blocked, a whole run over files that break the contract.
+RUN_STATES = """
+SELECT run_id, triggered_by, status, TRUE AS closed, reason, files FROM (
+  SELECT 'arrival-000000' AS run_id, 'stream' AS triggered_by, 'success' AS status, '' AS reason,
+    count(*) FILTER (WHERE NOT (late AND flaw = 0)) AS files FROM states
+  UNION ALL SELECT 'arrival-000001', 'stream', 'failed', 'data-quality check(s) failed', count(*) FILTER (WHERE flaw > 0 OR late) FROM states
+  UNION ALL SELECT 'whole', 'api', 'failed', CAST(count(*) FILTER (WHERE flaw = 1) AS VARCHAR) || ' files break the contract', count(*) FROM states
+) AS s"""
+STATES = """
+states AS (
+  SELECT DISTINCT subject_id, region, extraction_id, CAST(substr(subject_id, 2) AS INTEGER) % 3 AS flaw, substr(extraction_id, 1, 4) = '1998' AS late FROM tree
+)"""
+
+
+@query("run_states", with_ctes(f"SELECT * FROM (WITH {STATES.strip()} {RUN_STATES}) AS runs", "tree"))
+def run_states(spark, sf):
+    """Status, message and files of a good run, one that the gate blocks and one that fails, with the blocking checks that the ledger has."""
+    root = _arrivals(spark, sf)
+
+    def build() -> str:
+        folder = new_location(spark, "failed-ledger")
+        warehouse = Warehouse(spark, _arrival_settings(root))
+        warehouse.ledger = Ledger(spark, folder)
+        try:
+            warehouse.run_all("whole")
+        except ContractError:
+            return folder
+        raise AssertionError("a run over broken files went through")
+
+    ledgers = [Ledger(spark, f"{root}/ledger"), Ledger(spark, t.once(spark, sf, "failed-ledger", build))]
+    runs, seen, outcomes = (stack([ledger.read(name) for ledger in ledgers]) for name in ("pipeline_run", "source_file", "dq_result"))
+    files = seen.groupBy("run_id").agg(F.count("*").alias("files"))
+    blocked = blocking(outcomes).groupBy("run_id").agg(F.count("*").cast("string").alias("n"))
+    message = F.split(F.coalesce("message", F.lit("")), r"\n|;|:")[0]
+    # The number of failed checks in the message is the ledger's.
+    reason = F.when(F.col("status") == "success", F.coalesce("message", F.lit(""))).otherwise(
+        F.when(message == F.concat(F.col("n"), F.lit(" data-quality check(s) failed")), "data-quality check(s) failed").otherwise(message)
+    )
+    return runs.join(files, "run_id").join(blocked, "run_id", "left").select(
+        "run_id", "triggered_by", "status", (F.col("finished_at") >= F.col("started_at")).alias("closed"), reason.alias("reason"), "files"
+    )
+
+
 @query("run_manifest", with_ctes("""
 SELECT 'run' AS run_id, (SELECT count(*) FROM paired) AS paired_rows, (SELECT count(*) FROM channel_load) AS load_rows,
   TRUE AS burst_only, 10000 AS n_permutations, 80 AS fs""", "paired"))
