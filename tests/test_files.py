@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cyclemart.contract import NULL_TOKENS, SOURCE_COLUMNS
 from cyclemart.functions import cells, naming
 from cyclemart.sources import files
+from cyclemart.sources.extracts import read_extract_in_order
 from cyclemart.sources.features import scan_features
 from tests.fixtures import HEADER, cycle_row, feature_file, recording
 
@@ -172,3 +173,19 @@ def test_rendering_a_cell_is_a_small_expression(spark):
     frame = spark.range(1).select((F.col("id") * 0.1).alias("v")).repartition(1)
     plan = frame.select(cells.render_cell("period", F.col("v")).alias("t"))._jdf.queryExecution().optimizedPlan()
     assert len(plan.expressions().apply(0).numberedTreeString().splitlines()) < 130
+
+
+def test_positions_of_extract_rows(spark, tmp_path):
+    """Several part files, each cut into several stretches that tasks read in any order."""
+    rows = spark.range(3000).select(F.col("id").alias("metric"), F.repeat(F.lit("x"), F.pmod(F.col("id") * 7, F.lit(40)).cast("int")).alias("test"))
+    rows.repartitionByRange(5, "metric").sortWithinPartitions("metric").write.option("header", "true").csv(str(tmp_path / "many"))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "part-00000-a.csv").write_text("metric,test\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        found = read_extract_in_order(spark, str(tmp_path), "many").collect()
+        assert read_extract_in_order(spark, str(tmp_path), "none").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.position for r in found) == list(range(1, 3001))
+    assert all(r.position == int(r.metric) + 1 for r in found)
