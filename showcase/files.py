@@ -515,7 +515,7 @@ def run_ledger(spark, sf):
     found = t.once(spark, sf, "classified", lambda: _classified(spark, sf))
     loaded = found.filter("status = 'discovered'").select(F.col("source_path").alias("source_file"), F.col("size_bytes").alias("row_count"))
     trials = t.once(spark, sf, "trials", lambda: t.trials(spark, sf))
-    outcomes = t.once(spark, sf, "outcomes", lambda: run_checks(t.fact(spark, sf), trials, t.paired(spark, sf), t.SETTINGS, "run", AT))
+    outcomes = t.once(spark, sf, "outcomes", lambda: run_checks(t.checked_signals(spark, sf), trials, t.paired(spark, sf), t.SETTINGS, "run", AT))
     tests = t.once(spark, sf, "tests", lambda: run_analysis(t.paired(spark, sf), t.SETTINGS.analysis))
     for _ in range(2):
         ledger.register_files(found, "run", at=AT)

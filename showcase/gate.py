@@ -51,7 +51,7 @@ FROM ({LIMITS}) AS l JOIN (SELECT entry.key AS check_name, CAST(entry.value AS D
 
 
 def _outcomes(spark, sf):
-    return quality.run_checks(t.fact(spark, sf), t.once(spark, sf, "trials", lambda: t.trials(spark, sf)), t.paired(spark, sf), t.SETTINGS, "run", AT)
+    return quality.run_checks(t.checked_signals(spark, sf), t.once(spark, sf, "trials", lambda: t.trials(spark, sf)), t.paired(spark, sf), t.SETTINGS, "run", AT)
 
 
 @query("quality_checks", with_ctes(f"""

@@ -18,6 +18,7 @@ from cyclemart.operators.skew import HotKeys, hot_keys, number_rows
 from cyclemart.operators.staging_area import materialise, new_location, shared_folder
 from cyclemart.plans.fact import build_fact, signal_rollup
 from cyclemart.plans.marts import channel_load, channel_paired
+from cyclemart.plans.quality import signal_checks
 from cyclemart.settings import Analysis, Settings, Signal
 
 FS = 80
@@ -138,6 +139,10 @@ def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "rollup", lambda: signal_rollup(fact(spark, sf_dir)))
 
 
+def checked_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, sf_dir, "checked", lambda: signal_checks(fact(spark, sf_dir), SETTINGS))
+
+
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     cycles = fact(spark, sf_dir)
     return once(spark, sf_dir, "load", lambda: channel_load(cycles, SETTINGS, cycles.count()))

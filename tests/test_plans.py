@@ -11,6 +11,7 @@ from cyclemart.operators.resampling import SignFlipTest, sign_flip_sums
 from cyclemart.operators.staging_area import materialise
 from cyclemart.plans.fact import build_fact, signal_rollup
 from cyclemart.plans.marts import symmetry_histogram
+from cyclemart.plans.quality import signal_checks
 from cyclemart.settings import Settings
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import lake_folders, loaded_rows, read_lake, read_matching, write_lake
@@ -42,6 +43,13 @@ def test_fact_is_exchanged_and_sorted_once(spark, capsys):
     assert len(re.findall(r"\bExchange\b", rolled)) == 2  # the rollup adds none
 
 
+def test_both_uniqueness_checks_share_one_exchange_of_the_fact(spark, capsys):
+    fact = materialise(build_fact(cycles(spark), metadata(spark), Settings(), known_rows=0), "fact")
+    shape = tree(signal_checks(fact, Settings(), largest_signal=0), capsys)
+    assert len(re.findall(r"\bExchange\b", shape)) == len(re.findall(r"\bScan parquet\b", shape)) == 1
+    assert "Join" not in shape
+
+
 def lake_of(spark, tmp_path):
     for stamp in ("20250601_091500", "20250701_091500"):
         recording(tmp_path / "src", "P1", "HP", stamp)
