@@ -207,7 +207,8 @@ def aligned_words(item: np.ndarray, passage: np.ndarray, p: Decontamination) ->
     return align(item, passage, fine)[0] % unit
 
 
-def _hash_words(texts: pa.Array) -> list[np.ndarray]:
+def hashed_words(texts: pa.Array) -> list[np.ndarray]:
+    """The hashes of each text's words."""
     out = []
     for words in wordhash.blocks(texts, wordhash.ALPHANUMERIC):
         out += np.split(words.hashes, np.cumsum(words.counts)[:-1])
@@ -225,7 +226,7 @@ def _aligned(p: Decontamination):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch in batches:
-            items, passages = _hash_words(batch.column(3)), _hash_words(batch.column(4))
+            items, passages = hashed_words(batch.column(3)), hashed_words(batch.column(4))
             starts = batch.column(2).to_pylist()
             rows = []
             for k, (item, passage) in enumerate(zip(items, passages, strict=True)):
@@ -250,21 +251,6 @@ def _aligned(p: Decontamination):
     return score
 
 
-def aligned_share(p: Decontamination):
-    """(id, label, item, passage) to (id, label, share of the item's own score)."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        np.seterr(over="ignore")
-        for batch in batches:
-            items, passages = _hash_words(batch.column(2)), _hash_words(batch.column(3))
-            shares = [align(a, b, p)[0] / (p.match * len(a)) if len(a) else 0.0 for a, b in zip(items, passages, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["doc_id", "label", "share"]
-            )
-
-    return score
-
-
 def contaminated_pairs(docs: DataFrame, items: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:
     """Documents that hold a test item, or an edited copy of it.
 

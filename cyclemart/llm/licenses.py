@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemart.llm import wordhash
-from cyclemart.llm.decontamination import Decontamination, aligned_share, hit_map, item_grams, seed_passages
+from cyclemart.llm.decontamination import Decontamination, align, hashed_words, hit_map, item_grams, seed_passages
 from cyclemart.llm.tables import written
 
 #: Well-known wordings, by label. A third entry are the words, in a row, without which a span is another license or none.
@@ -37,6 +37,17 @@ TEMPLATES = (
     ("mit", "released under the mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
      "associated documentation files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+     "permission notice shall be included"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies", "permission notice appear"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+     "lesser general public license"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+     "affero general public license"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license"),
+    ("boost", "distributed under the boost software license version 1.0", "boost software license"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
     ("mpl", "licensed under the mozilla public license version 2 0", "mozilla public license"),
     *(("cc", f"cc by{kind} {version}", f"cc by{kind} {version}") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd") for version in ("1 0", "2 0", "2 5", "3 0", "4 0")),
@@ -114,14 +125,65 @@ def phrase_places(docs: DataFrame, phrases=PHRASES) -> DataFrame:
     )
 
 
+def _verified(templates, p: LicenseScan):
+    """A map over batches of (id, start, passage, spans): (id, label, share) of the spans that count.
+
+    A passage is hashed once and spans are slices of it, so the work is the words of the spans, however many lie in one text.
+    Spans of equal words are aligned once a passage, and a label that has its whole template needs no more.
+    """
+    plain = Decontamination(gap=-1)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        hashes = hashed_words(pa.array([t[1] for t in templates], pa.string()))
+        needed = hashed_words(pa.array([t[2] if len(t) > 2 else "" for t in templates], pa.string()))
+        for batch in batches:
+            rows, labels, shares = [], [], []
+            starts, spans = batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            for row, passage in enumerate(hashed_words(batch.column(2))):
+                seen, best = set(), {}
+                for span in spans[row]:
+                    item, label = span["item"], templates[span["item"]][0]
+                    words = passage[span["low"] - starts[row]:span["high"] - starts[row] + p.gram]
+                    key = item, words.tobytes()
+                    if best.get(label) == 1.0 or key in seen:
+                        continue
+                    seen.add(key)
+                    if _holds(words, needed[item]):
+                        share = align(hashes[item], words, plain)[0] / (plain.match * len(hashes[item]))
+                        best[label] = max(share, best.get(label, 0.0))
+                counted = {label: share for label, share in best.items() if share >= p.share}
+                rows += [row] * len(counted)
+                labels += counted.keys()
+                shares += counted.values()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(labels, pa.string()), pa.array(shares, pa.float64())],
+                ["doc_id", "label", "share"],
+            )
+
+    return verify
+
+
+def _holds(words: np.ndarray, row: np.ndarray) -> bool:
+    """Whether the words of ``row`` stand in ``words`` one after the other."""
+    n = len(words) - len(row) + 1
+    if n < 1:
+        return False
+    found = np.ones(n, bool)
+    for i, word in enumerate(row):
+        found &= words[i:n + i] == word
+    return bool(found.any())
+
+
 def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = LicenseScan()) -> DataFrame:
-    """(id, label, score) of the templates found; ``docs``: id and text. One row for each id and label."""
+    """(id, label, score) of the templates found; ``docs``: id and text. One row for each id and label.
+
+    The spans of one passage meet in one row: as many numbers as its words have hits, so no more than its text by a factor
+    that the templates set.
+    """
     spark = docs.sparkSession
-    table = spark.createDataFrame(
-        [(i, t[0], t[1], t[2] if len(t) > 2 else "") for i, t in enumerate(templates)],
-        "item long, label string, item_text string, needed string",
-    )
-    grams = table.select("item", "item_text").mapInArrow(item_grams(p.gram), "item long, place long, n_words long, gram long")
+    table = spark.createDataFrame([(i, t[1]) for i, t in enumerate(templates)], "item long, item_text string")
+    grams = table.mapInArrow(item_grams(p.gram), "item long, place long, n_words long, gram long")
     longest = grams.agg(F.max("n_words")).first()[0] or 0
     shared_map = spark.sparkContext.broadcast(hit_map(grams))
     id_type = docs.schema[0].dataType.simpleString()
@@ -145,16 +207,11 @@ def template_labels(docs: DataFrame, templates=TEMPLATES, p: LicenseScan = Licen
     spans = votes.withColumn("_apart", group).groupBy("passage_id", "item", "n_words", "_apart").agg(
         F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
     ).filter(F.col("n") >= p.share * (F.col("n_words") - (p.gram - 1)) - p.slack)
-    words = F.split("passage", " ")
-    pairs = (
-        spans.join(passages.select("passage_id", "doc_id", "start", "passage"), "passage_id").join(table, "item")
-        .select("doc_id", "label", "item_text", "needed", F.array_join(
-            F.slice(words, (F.col("low") - F.col("start") + 1).cast("int"), (F.col("high") - F.col("low") + p.gram).cast("int")), " "
-        ).alias("span"))
-        .filter("contains(concat(' ', span, ' '), concat(' ', needed, if(needed = '', '', ' ')))").drop("needed")
+    listed = spans.groupBy("passage_id").agg(F.collect_list(F.struct("item", "low", "high")).alias("spans"))
+    scored = passages.join(listed, "passage_id").select("doc_id", "start", "passage", "spans").mapInArrow(
+        _verified(tuple(templates), p), f"doc_id {id_type}, label string, share double"
     )
-    scored = pairs.mapInArrow(aligned_share(Decontamination(gap=-1)), f"doc_id {id_type}, label string, share double")
-    return scored.filter(F.col("share") >= p.share).groupBy("doc_id", "label").agg(F.max("share").alias("score"))
+    return scored.groupBy("doc_id", "label").agg(F.max("share").alias("score"))
 
 
 def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, p: LicenseScan = LicenseScan()) -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,9 +11,9 @@ from hypothesis import strategies as st
 pytest.importorskip("cyclemart.llm")
 import corpus_pipeline  # noqa: E402
 from cyclemart.llm.components import connected_components  # noqa: E402
-from cyclemart.llm.decontamination import Decontamination, align, contaminated_pairs, decontaminated  # noqa: E402
+from cyclemart.llm.decontamination import Decontamination, align, contaminated_pairs, decontaminated, hashed_words  # noqa: E402
 from cyclemart.llm.html_text import extracted, main_text  # noqa: E402
-from cyclemart.llm.licenses import TEMPLATES, license_scan  # noqa: E402
+from cyclemart.llm.licenses import PHRASES, TEMPLATES, license_scan  # noqa: E402
 from cyclemart.llm.mixing import meet, mixed, taken_rows  # noqa: E402
 from cyclemart.llm.near_duplicates import NearDuplicates, deduplicated, near_duplicate_components  # noqa: E402
 from cyclemart.llm.preferences import preference_pairs  # noqa: E402
@@ -367,7 +368,30 @@ def test_license_scan_takes_no_license_for_another(spark):
     own = [(t[1], t[0]) for t in TEMPLATES]
     docs = [(i, f"{prose(i, 30)}\n{line}\n{prose(i + 50, 30)}") for i, (line, _) in enumerate(lines + own)]
     found = {r.doc_id: r.labels for r in license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert [found[i] for i in range(len(docs))] == [label for _, label in lines + own]
+    named = [{label} | {base for phrase, base in PHRASES if phrase in line.lower()} for line, label in own]  # LGPL and AGPL name the GPL
+    assert [found[i] for i in range(len(docs))] == [label for _, label in lines] + [",".join(sorted(x)) for x in named]
+
+
+def test_license_scan_of_a_text_full_of_license_lines(spark):
+    """Spans of one passage are verified in one go; where a template's ends stand, its score is the best alignment with the whole text."""
+    lists = {
+        1: [f"pkg{i} Licensed under the Apache License, Version 2.0" for i in range(20_000)],
+        2: [f"{i} SPDX-License-Identifier: MIT" for i in range(5_000)],
+        3: [f"p{i} Licensed under the Apache License, our Version 2.0" for i in range(300)],
+        4: ["This program and accompanying materials are made available under the Eclipse Public License terms"] * 50,
+    }
+    docs = [(i, "\n".join(lines)) for i, lines in lists.items()]
+    found = {r.doc_id: r for r in license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, text in docs:
+        words = hashed_words(pa.array([text if i > 2 else text[-20_000:]]))[0]  # one stretch of equal lines is as good as all
+        best = {}
+        for t in TEMPLATES:
+            item, needed = hashed_words(pa.array([t[1], t[2]]))
+            if " ".join(map(str, needed)) in " ".join(map(str, words)):
+                best[t[0]] = max(best.get(t[0], 0.0), align(item, words, Decontamination(gap=-1))[0] / (2 * len(item)))
+        own = {label: share for label, share in best.items() if share >= 0.6}
+        assert set(found[i].labels.split(",")) == set(own) | set(filter(None, found[i].base_labels.split(",")))
+        assert found[i].score == max(own.values())
 
 
 def test_url_filter_of_odd_urls(spark):
