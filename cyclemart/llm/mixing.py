@@ -31,11 +31,13 @@ from cyclemart.llm.tables import written
 @dataclass(frozen=True)
 class Mixing:
     """``weights`` repeat over the sources in order of their names, null last; a target stops at
-    ``most_copies`` times its source. ``buckets`` must be a power of ``fan_in``."""
+    ``most_copies`` times its source. ``buckets``, a power of ``fan_in``, is the least number of buckets of a source; there are
+    ``fan_in`` times more until a bucket holds ``bucket_rows`` rows or fewer on average, all sources taken together."""
 
     weights: tuple[int, ...] = (1, 2, 3)
     most_copies: int = 3
     buckets: int = 256
+    bucket_rows: int = 1_000_000
     fan_in: int = 16
     seed: int = 11
 
@@ -112,11 +114,11 @@ def _rounds(last: bool, seed: int):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            column = {n: batch.column(batch.schema.get_field_index(n)) for n in ("_group", "size", "_order", "copies", "_open")}
-            groups, sizes, order = (column[n].to_pylist() for n in ("_group", "size", "_order"))
-            copies, opens = column["copies"].to_pylist(), column["_open"].to_pylist()
+            groups, sizes, order, copies, opens = (
+                [x for rows in (held, batch) if rows is not None for x in rows.column(rows.schema.get_field_index(n)).to_pylist()]
+                for n in ("_group", "size", "_order", "copies", "_open")
+            )
+            n_held = len(groups) - batch.num_rows
             waiting = None
             for i, fraction in enumerate(opens):
                 if waiting is not None and groups[waiting] != groups[i]:
@@ -138,15 +140,17 @@ def _rounds(last: bool, seed: int):
                         opens[k] = value
                         still = k
                 waiting = still
-            done = _with(batch, copies, opens)
-            if waiting is None:
-                held = None
-                yield done
-            else:
-                held = done.slice(waiting, 1)
-                keep = np.ones(done.num_rows, bool)
-                keep[waiting] = False
-                yield done.filter(pa.array(keep))
+            done = [_with(batch, copies[n_held:], opens[n_held:])]
+            if n_held:
+                done.insert(0, _with(held, copies[:1], opens[:1]))
+            held = None
+            for rows, first in zip(done, (0, n_held) if n_held else (0,), strict=True):
+                at = None if waiting is None else waiting - first
+                if at is None or not 0 <= at < rows.num_rows:
+                    yield rows
+                    continue
+                held = rows.slice(at, 1)
+                yield from (part for part in (rows.slice(0, at), rows.slice(at + 1)) if part.num_rows)
         if held is not None:
             field = held.schema.get_field_index
             copies, opens = held.column(field("copies")).to_pylist(), held.column(field("_open")).to_pylist()
@@ -179,6 +183,9 @@ def mixed(docs: DataFrame, p: Mixing = Mixing(), carry: list[str] | None = None)
     text may change places. Columns of ``docs`` called size, source_size, target or copies give way.
     """
     carry = [c for c in (carry or docs.columns) if c not in ("size", "source_size", "target", "copies")]
+    buckets, n_rows = p.buckets, docs.count()
+    while buckets * p.bucket_rows < n_rows:
+        buckets *= p.fan_in
     order = F.xxhash64(F.lit(p.seed), F.col("doc_id"), F.col("source"), F.col("text"))
     sized = docs.withColumns({"size": word_count(), "_order": order}).select(*carry, F.col("source").alias("_source"), "size", "_order")
     sources = targets(
@@ -192,9 +199,9 @@ def mixed(docs: DataFrame, p: Mixing = Mixing(), carry: list[str] | None = None)
         sized.join(sources, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of").withColumn("_rate", rate)
         .withColumn("copies", whole.cast("long"))
         .withColumn("_open", F.when(fraction > 0, fraction))
-        .withColumn("_bucket", F.pmod(F.col("_order"), F.lit(p.buckets))).drop("_rate")
+        .withColumn("_bucket", F.pmod(F.col("_order"), F.lit(buckets))).drop("_rate")
     )
-    parts, buckets = [], p.buckets
+    parts = []
     while True:
         grouped = rows.withColumn("_group", F.xxhash64("_source", "_bucket")).repartition("_source", "_bucket")
         ordered = grouped.sortWithinPartitions("_source", "_bucket", "_order", *(["doc_id"] if "doc_id" in carry else []))

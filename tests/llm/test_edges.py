@@ -14,7 +14,7 @@ from cyclemart.llm.components import connected_components  # noqa: E402
 from cyclemart.llm.decontamination import Decontamination, align, contaminated_pairs, decontaminated, hashed_words  # noqa: E402
 from cyclemart.llm.html_text import extracted, main_text  # noqa: E402
 from cyclemart.llm.licenses import PHRASES, TEMPLATES, license_scan  # noqa: E402
-from cyclemart.llm.mixing import meet, mixed, taken_rows  # noqa: E402
+from cyclemart.llm.mixing import Mixing, meet, mixed, taken_rows  # noqa: E402
 from cyclemart.llm.near_duplicates import NearDuplicates, deduplicated, near_duplicate_components  # noqa: E402
 from cyclemart.llm.preferences import preference_pairs  # noqa: E402
 from cyclemart.llm.quality_rules import quality_rules  # noqa: E402
@@ -172,6 +172,27 @@ def test_mixing_of_odd_documents(spark):
     assert mixed(empty_documents(spark)).count() == 0
 
 
+def test_mixing_does_not_depend_on_batches_and_takes_more_buckets_for_more_rows(spark):
+    docs = [(i, "w " * (1 + i % 7), "ab"[i % 3 == 0]) for i in range(600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+
+    def copies(p):
+        return {r.doc_id: (r.copies, r.source, r["size"], r.target) for r in mixed(frame, p).collect()}
+
+    whole = copies(Mixing(buckets=4, fan_in=4))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert copies(Mixing(buckets=4, fan_in=4)) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert copies(Mixing(buckets=1, fan_in=4, bucket_rows=150)) == whole  # 600 rows in four buckets
+    for found in (whole, copies(Mixing(buckets=1, fan_in=4, bucket_rows=10))):
+        assert len(found) == len(docs)
+        for source in "ab":
+            rows = [r for r in found.values() if r[1] == source]
+            assert abs(sum(c * n for c, _, n, _ in rows) - rows[0][3]) <= 7
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.floats(0.01, 0.99), st.integers(1, 500), st.floats(0.01, 0.99), st.integers(1, 500))
 def test_a_meeting_keeps_words_and_expectations(a, m, b, n):
