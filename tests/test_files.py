@@ -1,5 +1,6 @@
 """Names, listing, contract check, typed scan."""
 
+import gzip
 import math
 import random
 from datetime import datetime
@@ -13,6 +14,7 @@ from cyclemart.functions import cells, naming
 from cyclemart.sources import files
 from cyclemart.sources.extracts import read_extract_in_order
 from cyclemart.sources.features import scan_features
+from showcase import tables
 from tests.fixtures import HEADER, cycle_row, feature_file, recording
 
 AT = datetime(2025, 6, 2)
@@ -189,3 +191,28 @@ def test_positions_of_extract_rows(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r.position for r in found) == list(range(1, 3001))
     assert all(r.position == int(r.metric) + 1 for r in found)
+
+
+def test_packed_files_are_feature_files(spark, tmp_path):
+    """A file in gzip is listed, checked by its head, scanned, and copied as it is."""
+    plain = recording(tmp_path / "plain", "P1", "HP", STAMP)
+    packed = tmp_path / "src" / "P1" / "HP" / (plain.name + ".gz")
+    packed.parent.mkdir(parents=True)
+    packed.write_bytes(gzip.compress(plain.read_bytes()))
+    root = str(tmp_path / "src")
+    found = files.discover(spark, root).collect()
+    assert [(f.status, f.subject_id, f.extraction_id) for f in found] == [("discovered", "P1", STAMP)]
+    listed = files.list_files(spark, root).select(F.col("path").alias("source_path"))
+    for heads in (files.file_heads(listed, 1), files.file_heads_by_scan(listed, spark, root)):
+        assert files.contract_problems(heads, 1).count() == 0 and heads.first().data_lines >= 1
+    rows = [scan_features(spark, str(tmp_path / d), "r", AT).drop("source_file", "_block", "_size").collect() for d in ("plain", "src")]
+    assert sorted(map(str, rows[0])) == sorted(map(str, rows[1])) and rows[0]
+    files.copy_file(str(packed), str(tmp_path / "copy" / packed.name))
+    assert (tmp_path / "copy" / packed.name).read_bytes() == packed.read_bytes()
+
+
+def test_tree_is_exchanged_before_it_is_spelled_out(spark):
+    """The exchange carries the columns of the tables, not the 27 cells of the contract."""
+    plan = tables._tree_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    assert "volt_amp" in above and "volt_amp" not in below and "time_ptsym" not in below
