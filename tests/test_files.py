@@ -216,3 +216,14 @@ def test_tree_is_exchanged_before_it_is_spelled_out(spark):
     plan = tables._tree_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("RepartitionByExpression")
     assert "volt_amp" in above and "volt_amp" not in below and "time_ptsym" not in below
+
+
+def test_contract_files_are_copied_by_tasks(spark, tmp_path):
+    """Every wanted file of a tree once, packed as it was, under its contract name."""
+    for subject, year in (("S1", 1997), ("S2", 1998), ("S3", 1997)):
+        folder = tmp_path / "tree" / f"subject_id={subject}" / "region=O" / f"extraction_id={year}0101_000000"
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv.gz").write_bytes(gzip.compress(f"{subject}{year}".encode()))
+    tables.contract_files(spark, str(tmp_path / "tree"), str(tmp_path / "src"), lambda year, third: third > 0 and year == 1997)
+    placed = {str(p.relative_to(tmp_path / "src")): gzip.decompress(p.read_bytes()) for p in (tmp_path / "src").rglob("*.gz")}
+    assert placed == {"S1/O/S1_O_bycycle_features_19970101_000000.csv.gz": b"S11997"}
