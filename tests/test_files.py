@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclemart.contract import NULL_TOKENS, SOURCE_COLUMNS
 from cyclemart.functions import cells, naming
@@ -227,3 +228,27 @@ def test_contract_files_are_copied_by_tasks(spark, tmp_path):
     tables.contract_files(spark, str(tmp_path / "tree"), str(tmp_path / "src"), lambda year, third: third > 0 and year == 1997)
     placed = {str(p.relative_to(tmp_path / "src")): gzip.decompress(p.read_bytes()) for p in (tmp_path / "src").rglob("*.gz")}
     assert placed == {"S1/O/S1_O_bycycle_features_19970101_000000.csv.gz": b"S11997"}
+
+
+def test_identity_by_folder_is_known_for_a_file_not_told_for_a_row(spark, tmp_path):
+    """The keys are partition columns: no pattern is matched on rows, and files of other subjects are not scanned."""
+    for subject, stamp in (("007", STAMP), ("S2", STAMP), ("S2", "20240102_030405")):
+        made = recording(tmp_path / "made", subject, "HP", stamp)
+        folder = tmp_path / "tree" / f"subject_id={subject}" / "region=HP" / f"extraction_id={stamp}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv").write_bytes(made.read_bytes())
+    root = str(tmp_path / "tree")
+    scanned = scan_features(spark, root, "r", AT, by_folder=True)
+    plan = scanned.filter("subject_id = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and "rlike" not in plan.lower() and "PartitionFilters: [isnotnull(subject_id" in plan
+    keys = {(r.subject_id, r.region, r.extraction_id, str(r.extracted_at)) for r in scanned.collect()}
+    named = scan_features(spark, str(tmp_path / "made"), "r", AT)
+    assert keys == {(r.subject_id, r.region, r.extraction_id, str(r.extracted_at)) for r in named.collect()} and len(keys) == 3
+
+
+def test_a_cell_is_parsed_once(spark):
+    """NULL spellings are not parsed, other cells once; a NaN in no NULL spelling stays, anything else bad fails."""
+    texts = spark.createDataFrame([("1.5",), ("",), ("NA",), ("nan",), ("null",), (None,), ("nAN",)], "c string").repartition(1)
+    typed = texts.select(cells.strict_cell(F.col("c"), T.DoubleType()).alias("v"))
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("try_cast(") == 1
+    assert [str(r.v) for r in typed.collect()] == ["1.5", "None", "None", "None", "None", "None", "nan"]
