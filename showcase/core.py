@@ -78,7 +78,7 @@ SELECT {KEYS}, channel_idx, trial, cycle_idx, cycles_in_signal, load_condition,
 @query("cycle_fact", with_ctes(FACT, "fact"))
 def cycle_fact(spark, sf):
     """The whole fact, planned and run here (not the written copy other queries read)."""
-    return rounded(core.build_fact(t.features(spark, sf), t.trials(spark, sf), t.SETTINGS, t.known_rows(spark, sf)))
+    return rounded(core.build_fact(t.features(spark, sf), t.trials(spark, sf), t.SETTINGS, t.trial_rows(spark, sf)))
 
 
 @query("cycle_timing", with_ctes(f"""
@@ -362,7 +362,7 @@ def report_fixed_histogram(spark, sf):
 
 def flagship(spark, sf, settings):
     """Cycles to test results in one go: fact, channel marts, six tests."""
-    built = core.build_fact(t.features(tune(spark), sf), t.trials(spark, sf), settings, t.known_rows(spark, sf))
+    built = core.build_fact(t.features(tune(spark), sf), t.trials(spark, sf), settings, t.trial_rows(spark, sf))
     cycles = t.materialise(built, "flagship-fact")
     load = marts.channel_load(cycles, settings, cycles.count())
     pairs = t.materialise(marts.channel_paired(load, settings), "flagship-paired")

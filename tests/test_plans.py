@@ -1,6 +1,7 @@
 """Shapes of physical plans that decide how the jobs scale."""
 
 import re
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from cyclemart.operators.staging_area import materialise
 from cyclemart.plans.fact import build_fact, signal_rollup
 from cyclemart.plans.marts import symmetry_histogram
 from cyclemart.plans.quality import signal_checks
-from cyclemart.settings import Settings
+from cyclemart.settings import INITIAL_PARTITIONS, Settings, tune
 from cyclemart.sources.features import scan_features
 from cyclemart.sources.lake import lake_folders, loaded_rows, read_lake, read_matching, write_lake
+from showcase import tables
 from tests.fixtures import recording
 from tests.test_skew import cycles, metadata
 
@@ -142,3 +144,24 @@ def test_large_sources_become_several_files(spark, tmp_path):
             spark.conf.unset(key)
     assert len(list((tmp_path / "lake").rglob("*.parquet"))) > 1
     assert read_lake(spark, str(tmp_path / "lake")).count() == 40 * 3 * 4
+
+
+def test_exchanges_start_small_whatever_the_sessions_partitions(spark):
+    """The rows that a task sorts follow the advisory size, so the fact does not spill where a session has few partitions."""
+    given = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        plan = build_fact(cycles(tune(spark)), metadata(spark), Settings(), known_rows=0)._jdf.queryExecution().executedPlan().toString()
+        assert ", 200), REPARTITION_BY_COL" in plan and ", 8), REPARTITION_BY_COL" not in plan
+        spark.conf.set(INITIAL_PARTITIONS, "12")
+        assert tune(spark).conf.get(INITIAL_PARTITIONS) == "12"
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if given is None else spark.conf.set(INITIAL_PARTITIONS, given)
+
+
+def test_large_trials_are_ruled_out_by_orders(spark, monkeypatch):
+    """Above the limit of one task the fact is planned by its largest order, and its features are not counted by key first."""
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(tables, "SETTINGS", replace(tables.SETTINGS, scale=replace(tables.SETTINGS.scale, hot_group_rows=100)))
+    largest = tables.features(spark, sf).groupBy("subject_id", "trial").count().agg(F.max("count")).first()[0]
+    assert largest <= tables.trial_rows(spark, sf) <= 100 < tables.known_rows(spark, sf)
