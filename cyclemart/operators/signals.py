@@ -8,7 +8,7 @@ and ``trials(session_id, trial, onset_s, load, accuracy)``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -119,29 +119,49 @@ FEATURE_ROWS = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
-FeatureFunction = Callable[[list[float]], pd.DataFrame]
+_RETURNED = frozenset({*FEATURE_COLUMNS, "error"})
+
+FeatureFunction = Callable[[list[float]], pd.DataFrame | Mapping[str, Sequence]]
 BatchFunction = Callable[[list[list[float]], Signal, BurstThresholds], pd.DataFrame]
 
 
 def feature_rows(epoch_table: DataFrame, function: FeatureFunction) -> DataFrame:
     """Apply a caller's feature function to every finite epoch.
 
-    The function takes one signal and returns a frame with any of the feature
-    columns, one row per cycle. A failing or empty signal gives one row with
-    ``error`` set and no features.
+    The function takes one signal and returns any of the feature columns, one row per cycle: as lists of one length,
+    or as a frame, which takes far longer to build than a short signal takes to measure. A failing or empty signal
+    gives one row with ``error`` set and no features.
     """
     def each(epochs: list, signal: Signal, thresholds: BurstThresholds) -> pd.DataFrame:
-        frames = []
+        places, columns = [], {}
         for number, one in enumerate(epochs):
             try:
-                frames.append(function(one).assign(epoch=number))
+                rows = _cycle_columns(function(one))
             except Exception as failure:  # any failure of the caller's function is recorded
-                frames.append(_failed(number, failure))
-        return pd.concat(frames, ignore_index=True)
+                rows = {"error": [_reason(failure)]}
+            for name, values in rows.items():
+                column = columns.setdefault(name, [])
+                column.extend([None] * (len(places) - len(column)))
+                column.extend(values)
+            places.extend([number] * max(map(len, rows.values()), default=0))
+        for column in columns.values():
+            column.extend([None] * (len(places) - len(column)))
+        # As objects, so that longs beside empty cells do not become doubles.
+        return pd.DataFrame(columns, dtype="object").assign(epoch=pd.Series(places, dtype="int64"))
 
     return batch_feature_rows(epoch_table, each, Signal(), BurstThresholds())
 
 
+def _cycle_columns(rows: pd.DataFrame | Mapping[str, Sequence]) -> dict[str, list]:
+    """What one signal gave, as lists of one length; columns that are no features are left out."""
+    given = rows.to_dict("list") if isinstance(rows, pd.DataFrame) else {name: list(values) for name, values in rows.items()}
+    if len({len(values) for values in given.values()}) > 1:
+        raise ValueError("feature columns differ in length")
+    if given and not given.keys() & _RETURNED:
+        given = {"error": [None] * len(next(iter(given.values())))}
+    return {name: values for name, values in given.items() if name in _RETURNED}
+
+
 def batch_feature_rows(epoch_table: DataFrame, function: BatchFunction, signal: Signal, thresholds: BurstThresholds) -> DataFrame:
     """Apply a caller's feature function to the finite epochs, a batch at a time, with the settings it works by.
 
@@ -179,8 +199,12 @@ def batch_feature_rows(epoch_table: DataFrame, function: BatchFunction, signal:
     return epoch_table.filter("finite").select(*columns).mapInPandas(frames, FEATURE_ROWS)
 
 
+def _reason(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"
+
+
 def _failed(epoch: int, failure: Exception) -> pd.DataFrame:
-    return pd.DataFrame({"epoch": [epoch], "error": [f"{type(failure).__name__}: {failure}"]})
+    return pd.DataFrame({"epoch": [epoch], "error": [_reason(failure)]})
 
 
 def _nullable(frame: pd.DataFrame) -> pd.DataFrame:

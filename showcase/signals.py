@@ -27,11 +27,12 @@ def _epochs(spark, sf):
     return t.once(spark, sf, "epochs", build)
 
 
-def extremes(signal) -> pd.DataFrame:
+def extremes(signal) -> dict[str, list]:
     """A small feature function: one row per signal; short signals are refused."""
     if len(signal) < 31:
         raise ValueError("short signal")
-    return pd.DataFrame({"period": [float(len(signal))], "volt_peak": [max(signal)], "volt_trough": [min(signal)], "is_burst": [max(signal) > 0.3]})
+    top = float(signal.max())
+    return {"period": [float(len(signal))], "volt_peak": [top], "volt_trough": [float(signal.min())], "is_burst": [top > 0.3]}
 
 
 def _features(spark, sf):

@@ -108,6 +108,26 @@ def test_batch_features_see_their_settings_and_fail_one_by_one(spark):
     assert signals.batch_feature_rows(found.filter("trial > 50"), bursts, SIGNAL, BurstThresholds()).count() == 0
 
 
+def test_features_as_lists_keep_longs_and_fail_one_by_one(spark):
+    recordings, electrodes, trials, samples = tables(spark)
+    found = signals.epochs(samples, signals.trial_windows(trials, recordings, SIGNAL), signals.channel_table(electrodes), SIGNAL)
+    large = 2**60 + 1
+
+    def cycles(signal):
+        if signal[0] == 0.0:
+            return {"period": [1.0, 2.0], "is_burst": [True]}
+        if signal[0] == 280.0:
+            return {}
+        return {"period": [80.0, float(len(signal))], "sample_peak": [large, None], "is_burst": [True, False], "other": ["x", "y"]}
+
+    rows = signals.feature_rows(found.coalesce(1), cycles).collect()
+    assert sorted(r.error or "" for r in rows) == [""] * 4 + ["ValueError: feature columns differ in length"] * 3 + ["no cycles"] * 3
+    good = [(r.trial, r.channel_idx, r.period, r.sample_peak, r.is_burst) for r in rows if r.error is None]
+    assert sorted(good, key=lambda r: r[:3]) == [(1, c, *v) for c in (0, 2) for v in ((80.0, large, True), (1240.0, None, False))]
+    frames = signals.feature_rows(found.coalesce(1), lambda signal: pd.DataFrame(cycles(signal)) if signal[0] != 0.0 else pd.DataFrame({"other": [1]})).collect()
+    assert sorted(r.error or "" for r in frames) == [""] * 7 + ["no cycles"] * 3
+
+
 def test_measured_rates(spark):
     at = [("a", 0), ("a", 2500), ("a", 5000), ("b", 7), ("c", 0), ("c", 2000), ("d", 3), ("d", 3)]
     found = {r.session_id: (r.rate, r.n_samples) for r in signals.measured_rates(spark.createDataFrame(at, "s string, us long"), "s", "us").collect()}
