@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from cyclemart.contract import FEATURE_COLUMNS, SOURCE_COLUMNS
 from cyclemart.functions.recordings import epoch_bounds, hemisphere, region_code, session_code, subject_code
-from cyclemart.operators.intervals import points_in_windows
 from cyclemart.operators.skew import hot_keys, number_rows
 from cyclemart.settings import BurstThresholds, Scale, Signal
 
@@ -90,26 +89,48 @@ def trial_windows(
     )
 
 
+#: Epochs that fit into one stretch of a channel, end to end.
+STRETCH_EPOCHS = 8
+
+
 def epochs(samples: DataFrame, windows: DataFrame, channels: DataFrame, signal: Signal) -> DataFrame:
     """One row per (recording, trial, channel): the samples of its epoch, in order.
 
     An epoch has at most ``(end - start) * fs`` samples, so the collected array
     is bounded by the settings. ``finite`` tells whether all of them are numbers.
+
+    Samples are not repeated for each epoch that holds them: they are gathered once, in stretches of a channel that run on
+    by the longest window, so each epoch is cut from the one stretch that its first sample lies in.
     """
     span = max(1, int((signal.epoch_end_s - signal.epoch_start_s) * signal.fs) + 1)
+    longest = windows.agg(F.max(F.col("i_high") - F.col("i_low"))).first()[0]
+    reach = max(span, longest or 0)
     labels = channels.select("session_id", "column_idx", "region", "channel_label")
-    wanted = samples.join(labels.select("session_id", "column_idx"), ["session_id", "column_idx"], "left_semi")
-    inside = points_in_windows(wanted, windows, ["session_id"], "t_index", "i_low", "i_high", span)
-    value = F.col("value")
-    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
-    ordered = F.sort_array(F.collect_list(F.struct("t_index", "value")))
-    collected = inside.groupBy("session_id", "trial", "column_idx").agg(
-        ordered["value"].alias("signal"), F.min("t_index").alias("first_sample"),
-        F.count("*").alias("n_samples"), F.bool_and(finite).alias("finite"),
+    stretches = _stretches(samples, reach * STRETCH_EPOCHS, reach).join(labels, ["session_id", "column_idx"])
+    placed = windows.withColumn("_stretch", F.floor(F.col("i_low") / F.lit(reach * STRETCH_EPOCHS)))
+    low, high, first = F.greatest("i_low", "_first"), F.least("i_high", F.col("_last") + 1), F.col("_first")
+    cut = F.when(F.col("_even"), F.slice("_points", (low - first + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))).otherwise(
+        F.filter("_points", lambda point: (point["t_index"] >= F.col("i_low")) & (point["t_index"] < F.col("i_high")))
     )
-    return collected.join(labels, ["session_id", "column_idx"]).select(
-        "session_id", "trial", "column_idx", "region", "channel_label", "signal", "first_sample", "n_samples", "finite"
+    points = stretches.join(placed, ["session_id", "_stretch"]).filter((F.col("_first") < F.col("i_high")) & (F.col("_last") >= F.col("i_low")))
+    found = points.withColumn("_cut", cut).filter(F.size("_cut") > 0)
+    finite = F.forall("_cut.value", lambda value: value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf")))
+    return found.select(
+        "session_id", "trial", "column_idx", "region", "channel_label", F.col("_cut.value").alias("signal"),
+        F.col("_cut")[0]["t_index"].alias("first_sample"), F.size("_cut").cast("long").alias("n_samples"), finite.alias("finite"),
+    )
+
+
+def _stretches(samples: DataFrame, width: int, reach: int) -> DataFrame:
+    """The samples of each channel from every ``width``-th position on, ``reach`` more than up to the next one, in order,
+    with the first and last position; ``_even`` where none is missing in between."""
+    at = F.col("t_index")
+    numbers = F.sequence(F.floor((at - reach) / F.lit(width)), F.floor(at / F.lit(width)))
+    gathered = samples.withColumn("_stretch", F.explode(numbers)).groupBy("session_id", "column_idx", "_stretch").agg(
+        F.sort_array(F.collect_list(F.struct("t_index", "value"))).alias("_points"), F.min(at).alias("_first"), F.max(at).alias("_last"),
     )
+    even = (F.size("_points") == F.col("_last") - F.col("_first") + 1) & (F.col("_points.t_index") == F.sequence("_first", "_last"))
+    return gathered.withColumn("_even", even)
 
 
 FEATURE_ROWS = T.StructType([

@@ -108,6 +108,42 @@ def test_batch_features_see_their_settings_and_fail_one_by_one(spark):
     assert signals.batch_feature_rows(found.filter("trial > 50"), bursts, SIGNAL, BurstThresholds()).count() == 0
 
 
+@pytest.mark.parametrize("signal", [SIGNAL, Signal(fs=400, epoch_start_s=0.0, epoch_end_s=0.01), Signal(fs=400, epoch_start_s=0.0, epoch_end_s=0.001)])
+def test_epochs_against_brute_force(spark, signal):
+    value = {0: 1.0, 3: float("nan"), 9: None, 20: float("-inf"), 33: -2.5}
+    points = [(s, c, at, value.get(at, at * 1.0)) for s in ("a", "b") for c in (0, 1, 2) for at in range(-3, 90) if s == "a" or c or at % 3 and at not in range(40, 60)]
+    points += [("a", 0, 7, 0.5), ("a", 0, None, 1.0), ("c", 0, 5, 1.0)]  # one position twice, one unknown, a recording without windows
+    bounds = [(-9, 2), (0, 5), (4, 9), (10, 13), (13, 41), (39, 60), (41, 47), (60, 80), (0, 200), (88, 95), (200, 210), (20, 20)]
+    windows = [(s, k, *w) for s in ("a", "b", "d") for k, w in enumerate(bounds)]
+    channels = [(s, c, "R", f"{s}{c}") for s in ("a", "b", "c", "d") for c in (0, 1)]
+    found = signals.epochs(
+        spark.createDataFrame(points, "session_id string, column_idx int, t_index long, value double"),
+        spark.createDataFrame(windows, "session_id string, trial int, i_low long, i_high long"),
+        spark.createDataFrame(channels, "session_id string, column_idx int, region string, channel_label string"), signal,
+    )
+    expected = []
+    for session, trial, low, high in windows:
+        for channel, column, region, label in channels:
+            inside = sorted(((p[2], p[3]) for p in points if p[:2] == (session, column) and p[2] is not None and low <= p[2] < high), key=str)
+            if channel == session and inside:
+                good = all(v is not None and abs(v) < float("inf") for _, v in inside)
+                expected.append((session, trial, column, region, label, sorted(str(v) for _, v in inside), min(at for at, _ in inside), len(inside), good))
+    rows = found.collect()
+    assert sorted((*r[:5], sorted(str(v) for v in r.signal), *r[6:]) for r in rows) == sorted(expected)
+    in_order = [v for r in rows for v in [[x for x in r.signal if x is not None and x > 33.0]]]
+    assert all(v == sorted(v) for v in in_order) and any(len(v) > 40 for v in in_order)
+
+
+def test_samples_of_overlapping_epochs_are_gathered_once(spark):
+    samples = spark.range(4000).select(F.lit("s").alias("session_id"), F.lit(0).alias("column_idx"), F.col("id").alias("t_index"), F.col("id").cast("double").alias("value"))
+    windows = spark.range(0, 2700).select(F.lit("s").alias("session_id"), F.col("id").cast("int").alias("trial"), F.col("id").alias("i_low"), (F.col("id") + 1240).alias("i_high"))
+    channels = spark.createDataFrame([("s", 0, "R", "R1")], "session_id string, column_idx int, region string, channel_label string")
+    found = signals.epochs(samples, windows, channels, SIGNAL)
+    assert found.agg(F.sum("n_samples")).first()[0] == 2700 * 1240
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan[:plan.index("Aggregate")]  # nothing is grouped after the join to windows
+
+
 def test_features_as_lists_keep_longs_and_fail_one_by_one(spark):
     recordings, electrodes, trials, samples = tables(spark)
     found = signals.epochs(samples, signals.trial_windows(trials, recordings, SIGNAL), signals.channel_table(electrodes), SIGNAL)
