@@ -10,7 +10,7 @@ from cyclemart.contract import LAKE_SCHEMA
 from cyclemart.operators.recency import keep_latest, latest_extraction
 from cyclemart.operators.resampling import SignFlipTest, sign_flip_sums
 from cyclemart.operators.staging_area import materialise
-from cyclemart.plans.fact import build_fact, signal_rollup
+from cyclemart.plans.fact import build_fact, signal_rollup, trial_dimension
 from cyclemart.plans.marts import symmetry_histogram
 from cyclemart.plans.quality import signal_checks
 from cyclemart.settings import INITIAL_PARTITIONS, Settings, tune
@@ -165,3 +165,18 @@ def test_large_trials_are_ruled_out_by_orders(spark, monkeypatch):
     monkeypatch.setattr(tables, "SETTINGS", replace(tables.SETTINGS, scale=replace(tables.SETTINGS.scale, hot_group_rows=100)))
     largest = tables.features(spark, sf).groupBy("subject_id", "trial").count().agg(F.max("count")).first()[0]
     assert largest <= tables.trial_rows(spark, sf) <= 100 < tables.known_rows(spark, sf)
+
+
+def test_signals_of_a_trial_meet_once(spark, capsys):
+    rolled = materialise(signal_rollup(build_fact(cycles(spark), metadata(spark), Settings(), known_rows=0)), "rolled")
+    assert len(re.findall(r"\bExchange\b", tree(trial_dimension(rolled), capsys))) == 1
+
+
+def test_line_items_are_placed_once_to_tell_the_trials(spark, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shape = tree(tables.trials(spark, "/root/testdata/sf0.001"), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Recorded: line items and suppliers by supplier, line items and orders by order. Unrecorded: orders, line items, and their customers.
+    assert len(re.findall(r"\bExchange\b", shape)) == 8
