@@ -1,5 +1,6 @@
 """Shapes of physical plans that decide how the jobs scale."""
 
+import gzip
 import re
 from dataclasses import replace
 from datetime import datetime
@@ -167,6 +168,33 @@ def test_large_trials_are_ruled_out_by_orders(spark, monkeypatch):
     assert largest <= tables.trial_rows(spark, sf) <= 100 < tables.known_rows(spark, sf)
 
 
+def packed(path):
+    path.with_name(path.name + ".gz").write_bytes(gzip.compress(path.read_bytes()))
+    path.unlink()
+    return f"{path}.gz"
+
+
+def stored_rows(spark, root):
+    return sorted(map(str, read_lake(spark, root).select(*[c for c in LAKE_SCHEMA.names if c != "loaded_at"]).collect()))
+
+
+def test_packed_files_are_loaded_as_they_are_read(spark, tmp_path, monkeypatch):
+    """A file that Spark does not split lies in one task: its rows are not exchanged, and a partition is one file as before."""
+    for subject in ("P1", "P2", "P3"):
+        for stamp in ("20250601_091500", "20250701_091500"):
+            packed(recording(tmp_path / "src", subject, "HP", stamp))
+    scan = scan_features(spark, str(tmp_path / "src"), "r", AT)
+    exchanged, by_file, again = (str(tmp_path / name) for name in ("exchanged", "by_file", "again"))
+    write_lake(scan, exchanged, 1 << 29)
+    monkeypatch.setattr(type(scan), "repartition", None)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    write_lake(scan, by_file, 1 << 29, by_file=True)
+    write_lake(read_lake(spark, by_file).filter("subject_id <> 'P2'"), again, 1 << 29, by_file=True)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert stored_rows(spark, by_file) == stored_rows(spark, exchanged) and len(stored_rows(spark, again)) == 4 * 72
+    assert len(list((tmp_path / "by_file").rglob("*.parquet"))) == 6 and len(list((tmp_path / "again").rglob("*.parquet"))) == 4
+
+
 def test_signals_of_a_trial_meet_once(spark, capsys):
     rolled = materialise(signal_rollup(build_fact(cycles(spark), metadata(spark), Settings(), known_rows=0)), "rolled")
     assert len(re.findall(r"\bExchange\b", tree(trial_dimension(rolled), capsys))) == 1
