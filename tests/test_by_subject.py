@@ -105,3 +105,18 @@ def test_a_note_of_all_stays_until_published(spark, tmp_path):
     assert published.subjects()["changed"] is None
     published.publish({"t": "v2"})
     assert published.versions() == {"t": ["v2"]} and published.subjects()["versions"] == {"a": ["v1"]}
+
+
+def test_changed_trials_are_found_in_one_exchange(spark, built):
+    """A row that one side has more often than the other counts as changed; rows with NULL compare like others."""
+    kinds = "subject_id string, trial int, load_condition int, correct boolean, run_id string"
+    old = spark.createDataFrame([("a", 1, 1, None, "r"), ("b", 1, 1, True, "r"), ("b", 1, 1, True, "r"), ("c", 1, 1, True, "r"), (None, 1, 1, True, "r")], kinds)
+    new = spark.createDataFrame([("a", 1, 1, None, "s"), ("b", 1, 1, True, "s"), ("c", 1, 1, None, "s"), ("d", 1, 1, True, "s")], kinds)
+    seen = []
+    collect = type(old).collect
+    try:
+        type(old).collect = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df)
+        found = built._touched([], new, old)
+    finally:
+        type(old).collect = collect
+    assert found == ["b", "c", "d"] and "exceptAll" not in seen[0] and seen[0].count("Union") == 1

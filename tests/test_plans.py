@@ -195,6 +195,21 @@ def test_packed_files_are_loaded_as_they_are_read(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "by_file").rglob("*.parquet"))) == 6 and len(list((tmp_path / "again").rglob("*.parquet"))) == 4
 
 
+def test_names_of_listed_files_are_taken_apart_once_each(spark, tmp_path):
+    good = [packed(recording(tmp_path / "a b%2+c", s, "HP", "20250601_091500")) for s in ("P1", "P_2")]
+    odd = packed(recording(tmp_path / "a b%2+c", "P1", "merged", "20250601_091500"))
+    root = str(tmp_path / "a b%2+c")
+    named = scan_features(spark, root, "r", AT, files=[*good, odd])
+    assert "RLIKE" not in named._jdf.queryExecution().executedPlan().toString().upper()
+    columns = [c for c in named.columns if not c.startswith("_")]
+    whole = scan_features(spark, root, "r", AT)
+    assert named.schema.simpleString() == whole.schema.simpleString()
+    assert sorted(map(str, named.select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+    assert named.count() == 2 * 72 and {r[0] for r in named.select("source_file").distinct().collect()} == set(good)
+    assert scan_features(spark, root, "r", AT, subjects=["P1"], files=good).count() == 72
+    assert scan_features(spark, root, "r", AT, files=[odd]).count() == 0
+
+
 def test_signals_of_a_trial_meet_once(spark, capsys):
     rolled = materialise(signal_rollup(build_fact(cycles(spark), metadata(spark), Settings(), known_rows=0)), "rolled")
     assert len(re.findall(r"\bExchange\b", tree(trial_dimension(rolled), capsys))) == 1
@@ -208,3 +223,15 @@ def test_line_items_are_placed_once_to_tell_the_trials(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Recorded: line items and suppliers by supplier, line items and orders by order. Unrecorded: orders, line items, and their customers.
     assert len(re.findall(r"\bExchange\b", shape)) == 8
+
+
+def test_files_that_arrive_later_are_those_of_the_tree(spark):
+    sf = "/root/testdata/sf0.001"
+
+    def rows(root):
+        return scan_features(spark, root, "r", AT, by_folder=True).drop("source_file", "_block", "_size")
+
+    whole, later = rows(tables.feature_tree(spark, sf)), rows(tables.later_tree(spark, sf))
+    third = F.substring("subject_id", 2, 9).cast("int") % 3
+    wanted = whole.filter((third == 2) | ((third == 0) & (F.substring("extraction_id", 1, 4) == "1998")))
+    assert sorted(map(str, later.collect())) == sorted(map(str, wanted.collect())) and 0 < later.count() < whole.count()
